@@ -26,8 +26,11 @@ from loamwork.session import materialise
 
 LENGTH = 1024
 GRANULE = 4
-#: The linear program ends when its value is within this share of its lower bound.
+#: The linear program ends when its value is within this share of its lower bound, or
+#: falls by less than this share in as many steps as there are sizes.
 GAP = 5e-4
+#: Steps of the simplex method for each size at most; whole_patterns repacks what is left over.
+STEPS = 10
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, cut: str = "slices") -> DataFrame:
@@ -91,18 +94,34 @@ def solve_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
     """Patterns (rows, counts of sizes 1..capacity) and how often each is used in the linear program's solution.
 
     ``demand``: items of each size. Revised simplex over generated columns; it ends at
-    the optimum or when Farley's bound shows the value to be within ``gap``.
+    the optimum, when Farley's bound shows the value to be within ``gap``, or when the
+    value hardly falls any more.
     """
     capacity = len(demand)
     sizes = np.flatnonzero(demand)
     m = len(sizes)
     if not m:
         return np.zeros((0, capacity), np.int64), np.zeros(0)
-    basis = np.zeros((m, m))
-    np.fill_diagonal(basis, capacity // (sizes + 1))
-    inverse = np.diag(1 / np.diag(basis))
-    level = demand[sizes] / np.diag(basis)
-    for step in range(200 * m):
+    # to begin with, each large size shares a sequence with what fills it up exactly
+    have = demand[sizes].astype(float)
+    basis = np.diag((capacity // (sizes + 1)).astype(float))
+    level = have / np.diag(basis)
+    row_of = {int(c): k for k, c in enumerate(sizes + 1)}
+    for c, k in row_of.items():
+        j = row_of.get(capacity - c)
+        if j is not None and 2 * c > capacity:
+            alone, both = (j, k) if have[j] >= have[k] else (k, j)
+            basis[[k, j], both] = 1
+            level[both] = have[both]
+            basis[alone, alone] = capacity // (sizes[alone] + 1)
+            level[alone] = (have[alone] - have[both]) / basis[alone, alone]
+    inverse = np.linalg.inv(basis)
+    earlier = np.inf
+    for step in range(STEPS * m):
+        if step % max(m, 50) == 0:
+            if level.sum() > earlier * (1 - gap):
+                break
+            earlier = level.sum()
         dual = np.full(capacity, -1.0)
         dual[sizes] = inverse.sum(0)
         value, pattern = _best_pattern(dual, capacity)
@@ -113,16 +132,12 @@ def solve_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
         ratio = np.where(direction > 1e-9, level / np.where(direction > 1e-9, direction, 1), np.inf)
         leave = int(ratio.argmin())
         basis[:, leave] = column
-        if step % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            level = np.maximum(0, inverse @ demand[sizes])
-        else:
-            move = ratio[leave]
-            level = np.maximum(0, level - move * direction)
-            level[leave] = move
-            row = inverse[leave] / direction[leave]
-            inverse -= np.outer(direction, row)
-            inverse[leave] = row
+        move = ratio[leave]
+        level = np.maximum(0, level - move * direction)
+        level[leave] = move
+        row = inverse[leave] / direction[leave]
+        inverse -= np.outer(direction, row)
+        inverse[leave] = row
     patterns = np.zeros((m, capacity), np.int64)
     patterns[:, sizes] = np.rint(basis.T).astype(np.int64)
     return patterns, level

@@ -110,3 +110,41 @@ class IdCache:
         ids = ragged(self.flat, self.start[at], length)
         ends = np.append(0, np.cumsum(length))
         return ids, ends[np.append(firsts, len(starts))]
+
+
+#: Lower case for A-Z, other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def byte_class(ranges: list[tuple[int, int]]) -> np.ndarray:
+    """A table of 256 flags, true in the ranges (both ends included)."""
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+#: Everything but ASCII white space; letters, digits and all non-ASCII bytes.
+NOT_SPACE = ~byte_class([(9, 13), (32, 32)])
+ALNUM = byte_class([(0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF)])
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Runs of ``kept`` bytes in texts end to end, and the offsets of each text's words among them."""
+    inside = kept[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[firsts] = inside[firsts]
+    at = np.flatnonzero(begins)
+    packed = np.append(0, np.cumsum(inside, dtype=np.int64)).astype(np.int32)
+    cut = np.append(packed[at], packed[-1])
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cut), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(at, offsets)
+
+
+def per_text(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of the values of each text."""
+    total = np.append(0, np.cumsum(values))
+    return total[ends[1:]] - total[ends[:-1]]
