@@ -106,6 +106,7 @@ def solve_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
     have = demand[sizes].astype(float)
     basis = np.diag((capacity // (sizes + 1)).astype(float))
     level = have / np.diag(basis)
+    inverse = np.diag(1 / np.diag(basis))
     row_of = {int(c): k for k, c in enumerate(sizes + 1)}
     for c, k in row_of.items():
         j = row_of.get(capacity - c)
@@ -115,7 +116,8 @@ def solve_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
             level[both] = have[both]
             basis[alone, alone] = capacity // (sizes[alone] + 1)
             level[alone] = (have[alone] - have[both]) / basis[alone, alone]
-    inverse = np.linalg.inv(basis)
+            # the inverse of the block [[1, 0], [1, copies]]
+            inverse[both, both], inverse[alone, both] = 1, -1 / basis[alone, alone]
     earlier = np.inf
     for step in range(STEPS * m):
         if step % max(m, 50) == 0:

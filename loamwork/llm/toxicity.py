@@ -296,7 +296,7 @@ def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[f
         w = n * p * (1 - p)
         g = np.array([(n * (toxic - p)).sum() - 1e-3 * a, (n * (toxic - p) * evidence).sum() - 1e-3 * b])
         h = np.array([[w.sum() + 1e-3, (w * evidence).sum()], [(w * evidence).sum(), (w * evidence * evidence).sum() + 1e-3]])
-        step = np.linalg.solve(h, g)
+        step = np.array([h[1, 1] * g[0] - h[0, 1] * g[1], h[0, 0] * g[1] - h[1, 0] * g[0]]) / (h[0, 0] * h[1, 1] - h[0, 1] * h[1, 0])
         a, b = a + step[0], b + step[1]
         if abs(step).max() < 1e-9:
             break
