@@ -12,24 +12,36 @@ from loamwork.llm.texts import IdCache
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_MARKS = np.zeros(256, bool)
+_MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+_APOSTROPHE = 39
 
 
-def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where runs of bytes begin that start after ASCII white space or at a text's begin.
+def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts without ASCII white space, where pieces begin in them, and their offsets.
 
-    For a tokenizer that drops white space and never joins across it.
+    Pieces begin after white space and between ASCII letters and marks: for a tokenizer
+    that drops white space, takes runs of letters and runs of marks apart, and knows no
+    longer pieces than contractions, which begin at an apostrophe; behind one there is
+    no cut.
     """
-    if not len(data):
-        return np.zeros(0, np.int64)
-    space = _SPACES[data]
+    inside, letter, mark = ~_SPACES[data], _LETTERS[data], _MARKS[data]
     begins = np.zeros(len(data), bool)
-    begins[1:] = space[:-1] & ~space[1:]
+    begins[1:] = ~inside[:-1] | (letter[:-1] & mark[1:]) | (mark[:-1] & (data[:-1] != _APOSTROPHE) & letter[1:])
     begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    return np.flatnonzero(begins)
+    packed = np.append(0, np.cumsum(inside, dtype=np.int64))
+    return data[inside], packed[np.flatnonzero(begins & inside)], packed[offsets]
+
+
+def pattern_slices(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as they are, cut as by the byte-level pattern."""
+    return data, slice_starts(data, offsets), offsets
 
 
 #: Ways to cut texts before the library sees the pieces.
-CUTS = {"spaces": word_starts, "slices": slice_starts}
+CUTS = {"words": word_pieces, "slices": pattern_slices}
 
 
 class LibraryTokenizer:
@@ -47,7 +59,7 @@ class LibraryTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of UTF-8 texts end to end, each with ``end_id`` after it, and the offsets of each text's ids."""
-        starts = self.cut(data, offsets)
+        data, starts, offsets = self.cut(data, offsets)
         ids, ends = self.cache.encode(data, starts, np.searchsorted(starts, offsets[:-1]))
         return np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
 

@@ -7,12 +7,13 @@ CHUNK_BYTES and its longest single text, not the number of rows in a batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,40 +65,52 @@ class IdCache:
     """Token ids of byte strings, looked up in bulk.
 
     What is new in a call is encoded together by ``encode_many`` (a list of byte
-    strings to a list of id sequences). When more than ``limit`` strings are held,
-    all are dropped before the next call: a bound on memory that changes no result.
+    strings to a list of id sequences). When more than ``limit`` strings are held, they
+    become the older generation, and the one before is dropped; strings found in the
+    older one move on to the newer. This bounds memory and changes no result.
     """
 
-    def __init__(self, encode_many, limit: int = 400_000):
+    def __init__(self, encode_many, limit: int = 250_000):
         self.encode_many, self.limit = encode_many, limit
-        self.clear()
+        self._begin()
+        self.older: tuple | None = None
 
-    def clear(self) -> None:
+    def _begin(self) -> None:
         self.place: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.length, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
 
+    def _add(self, strings: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(strings) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[self.n : self.n + len(strings)] = self.used + np.cumsum(sizes) - sizes
+        self.length[self.n : self.n + len(strings)] = sizes
+        self.place.update(zip(strings, range(self.n, self.n + len(strings)), strict=True))
+        self.used += len(ids)
+        self.n += len(strings)
+
     def find(self, strings: list[bytes]) -> np.ndarray:
         """Places of the strings in start and length."""
         if self.n > self.limit:
-            self.clear()
+            self.older = self.place, self.flat, self.start, self.length
+            self._begin()
         get = self.place.get
         new = [s for s in strings if get(s) is None]
+        if new and self.older:
+            place, flat, start, length = self.older
+            known = [s for s in new if s in place]
+            if known:
+                at = np.fromiter(map(place.__getitem__, known), np.int64, len(known))
+                self._add(known, length[at], ragged(flat, start[at], length[at]))
+                new = [s for s in new if s not in place]
         if new:
             ids = self.encode_many(new)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            more = int(sizes.sum())
-            while self.used + more > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while self.n + len(new) > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-                self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-            self.flat[self.used : self.used + more] = np.fromiter((x for row in ids for x in row), np.int32, more)
-            self.start[self.n : self.n + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.length[self.n : self.n + len(new)] = sizes
-            self.place.update(zip(new, range(self.n, self.n + len(new)), strict=True))
-            self.used += more
-            self.n += len(new)
+            self._add(new, sizes, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
         return np.fromiter(map(self.place.__getitem__, strings), np.int64, len(strings))
 
     def encode(self, data: np.ndarray, starts: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

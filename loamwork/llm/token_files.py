@@ -38,7 +38,7 @@ def write_token_files(
     path: str,
     tokenizer_path: str,
     end_id: int,
-    cut: str = "spaces",
+    cut: str = "words",
     stripe_bytes: int = STRIPE_BYTES,
     index_stride: int = INDEX_STRIDE,
 ) -> None:
