@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 
 from loamwork.llm.pretokenize import slice_starts
-from loamwork.llm.texts import IdCache
+from loamwork.llm.texts import LOWER, IdCache
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -20,13 +20,14 @@ _APOSTROPHE = 39
 
 
 def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts without ASCII white space, where pieces begin in them, and their offsets.
+    """The texts in lower case without ASCII white space, where pieces begin in them, and their offsets.
 
     Pieces begin after white space and between ASCII letters and marks: for a tokenizer
-    that drops white space, takes runs of letters and runs of marks apart, and knows no
+    that lower-cases, drops white space, takes runs of letters and runs of marks apart, and knows no
     longer pieces than contractions, which begin at an apostrophe; behind one there is
     no cut.
     """
+    data = LOWER[data]
     inside, letter, mark = ~_SPACES[data], _LETTERS[data], _MARKS[data]
     begins = np.zeros(len(data), bool)
     begins[1:] = ~inside[:-1] | (letter[:-1] & mark[1:]) | (mark[:-1] & (data[:-1] != _APOSTROPHE) & letter[1:])
