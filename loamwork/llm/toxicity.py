@@ -318,7 +318,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[s
     rows = docs.withColumn("__held", F.coalesce(held_out, F.lit(True)))
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     costs = spark.sparkContext.broadcast(character_model(character_counts(docs)))
-    training = rows.filter(~F.col("__held")).select("doc_id", "text").join(known, "doc_id")
+    training = rows.filter(~F.col("__held")).select("doc_id", "text").join(known.hint("merge"), "doc_id")
     lexicon = learn_lexicon(training, costs)
     columns = [*dict.fromkeys(["doc_id", *keep, "__held"])]
     sums = materialise(lexicon_sums(rows, costs, lexicon, columns), "toxic-evidence")
