@@ -24,9 +24,15 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from loamwork.plans import acquisition, documents  # noqa: F401  (they register themselves)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
