@@ -43,8 +43,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_steps: list[str] = []
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _steps.append(path)
+    return path
+
+
+def release_steps(spark: SparkSession, keep: str) -> None:
+    """Delete what new_path() has named so far, but for tags that begin with ``keep``.
+
+    Only when no DataFrame that reads those tables is used any more.
+    """
+    for path in [p for p in _steps if not p.rsplit("/", 1)[-1].startswith(keep)]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _steps.remove(path)
 
 
 def materialise(df: DataFrame, tag: str = "step") -> DataFrame:
