@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and
 returns a DataFrame; run() writes each stage's rows as Parquet and hands them to the
-next. All stages but the last return the columns of documents.
+next. All stages but the last return the columns of documents. Since a stage's rows are
+written before the next one begins, each stage first deletes the tables that earlier
+stages wrote on their way; rows of a stage are therefore only read through that copy.
 
 Nulls, empty texts, ties and repeated rows: as the operators say. A row that repeats
 another in doc_id and text is an exact copy, and one of them stays.
@@ -20,25 +22,29 @@ from loamwork.llm.quality import quality_rules
 from loamwork.llm.queries import remainder
 from loamwork.llm.simhash import LONG, SIMILAR, radius_of, simhash_components
 from loamwork.llm.toxicity import toxicity
-from loamwork.session import materialise
+from loamwork.session import materialise, release_steps
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+_ROWS = "pipeline-"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not predict to be toxic."""
+    release_steps(spark, keep=_ROWS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity(docs, labels, remainder(5) == 0, keep=tuple(docs.columns)).filter("predicted = 0").select(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    release_steps(spark, keep=_ROWS)
     return quality_rules(docs, keep=tuple(c for c in docs.columns if c != "doc_id")).filter("kept").select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id."""
+    release_steps(spark, keep=_ROWS)
     marked = materialise(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "exact-copies")
     rows = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256))
     gone = marked.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
@@ -53,6 +59,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingles, the one with the least doc_id."""
+    release_steps(spark, keep=_ROWS)
     radius = radius_of(SIMILARITY - 0.01, LONG)  # the estimate errs to both sides
     linked = simhash_components(docs, SHINGLE_WORDS, radius, LONG, SIMILAR, repeats=False)
     gone = materialise(linked.filter("doc_id <> component_id").select("doc_id"), "near-copies").distinct()
@@ -61,6 +68,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences of 1024."""
+    release_steps(spark, keep=_ROWS)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, length=1024)
 
 
@@ -89,5 +97,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"{_ROWS}{name}")
     return docs

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loamwork.llm.pretokenize import slice_starts
-from loamwork.llm.texts import IdCache, chunks, lists, ragged
+from loamwork.llm.texts import IdCache, chunks, hold, lists, ragged
 
 NONE = np.iinfo(np.int32).max
 #: Slices up to these many bytes are merged in arrays, longer ones by a heap.
@@ -138,6 +138,7 @@ _loaded: dict[int, Vocabulary] = {}
 
 def vocabulary(content: bytes) -> Vocabulary:
     """The vocabulary of a rank file, once in each worker process."""
+    hold("vocabulary", _loaded.clear)
     key = zlib.crc32(content)
     if key not in _loaded:
         _loaded[key] = Vocabulary(content)

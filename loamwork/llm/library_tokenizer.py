@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 
 from loamwork.llm.pretokenize import slice_starts
-from loamwork.llm.texts import LOWER, IdCache
+from loamwork.llm.texts import LOWER, IdCache, hold
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -70,6 +70,7 @@ _loaded: dict[tuple[int, str], LibraryTokenizer] = {}
 
 def library_tokenizer(content: bytes, cut: str) -> LibraryTokenizer:
     """The tokenizer of a JSON file, once in each worker process."""
+    hold("library", _loaded.clear)
     key = zlib.crc32(content), cut
     if key not in _loaded:
         _loaded[key] = LibraryTokenizer(content, cut)

@@ -16,6 +16,18 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 4 << 20
 
 
+_held: dict = {}
+
+
+def hold(name: str, release) -> None:
+    """Let one operator's caches live in a worker process: another's are released when this one's are used."""
+    if _held and name not in _held:
+        for f in _held.values():
+            f()
+        _held.clear()
+    _held[name] = release
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and where each begins and ends; null: empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -39,6 +51,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at), data[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def ragged(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, words_of
+from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, hold, words_of
 from loamwork.session import materialise
 
 # Letters that digits and symbols may stand for.
@@ -157,7 +157,7 @@ class Decoder:
                 text = self.restore(text.strip(_EDGES.decode("latin-1")))
             found = tuple(_LETTERS.findall(text))
             if hidden:
-                if len(self.known) > 300_000:  # bounds memory, changes no result
+                if len(self.known) > 100_000:  # bounds memory, changes no result
                     self.known.clear()
                 self.known[token] = found
         return found
@@ -205,6 +205,7 @@ _decoders: dict[int, Decoder] = {}
 
 
 def _decoder(costs: np.ndarray) -> Decoder:
+    hold("toxicity", _decoders.clear)
     key = hash(costs.tobytes())
     if key not in _decoders:
         _decoders.clear()
