@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
 
@@ -12,14 +13,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the least of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return lookup(both.filter("b > a"), ["a"], ["b"], least).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
+    joined = lookup(down, ["a"], ["b"], least)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).filter("a <> b")
 
 
@@ -27,8 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of ``edges`` (a, b) is linked with.
 
     Rounds end when no link changes; the number of rounds grows with the logarithm of
-    the longest chain. Minima are taken before shuffling, and joins on a hub can be
-    split by adaptive execution. Links of a node with itself, nulls and repeats are
+    the longest chain. Minima are taken before shuffling, and joins deal the
+    links of a hub over many tasks. Links of a node with itself, nulls and repeats are
     ignored; an empty table gives an empty result. Nodes that occur only in links with
     themselves are not returned.
     """

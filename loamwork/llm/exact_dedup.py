@@ -11,7 +11,7 @@ names are free of collisions, not just unlikely to collide.
 
 Only DataFrame functions are used. Equal blocks and pairs are combined before they are
 shuffled, so a group that holds a third of all rows costs one row per task; joins back
-to documents can be split by adaptive execution.
+to documents deal the rows of a hot group over many tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
 BLOCK_BYTES = 4096
@@ -88,7 +89,7 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         "block-keys",
     )
     level = materialise(
-        _gathered(base.select("row", F.posexplode("keys").alias("at", "key")).select("row", "at", "key.k1", "key.k2").join(names, ["k1", "k2"])),
+        _gathered(lookup(base.select("row", F.posexplode("keys").alias("at", "key")).select("row", "at", "key.k1", "key.k2"), ["k1", "k2"], ["row"], names)),
         "names",
     )
     done = []
@@ -129,7 +130,7 @@ def _paired(level: DataFrame) -> DataFrame:
         pairs.select("a", "b").distinct().sortWithinPartitions("a", "b").select("a", "b", F.monotonically_increasing_id().alias("name")),
         "pair-names",
     )
-    return materialise(_gathered(pairs.join(names, ["a", "b"])), "names")
+    return materialise(_gathered(lookup(pairs, ["a", "b"], ["row"], names)), "names")
 
 
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -144,7 +145,7 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     groups = named.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")
     )
-    return named.join(groups, ["n_blocks", "name"]).select(
+    return lookup(named, ["n_blocks", "name"], ["row"], groups).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",

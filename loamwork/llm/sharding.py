@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamwork.operators.ordering import with_global_index
+from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
 SEED = 20240611
@@ -47,7 +48,7 @@ def interleaved_shards(docs: DataFrame, n_shards: int = 8, seed: int = SEED) ->
     ranked = with_global_index(keyed, ["stratum", *ties], "at")
     strata = ranked.groupBy("stratum").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
     spread = materialise(
-        ranked.join(strata, "stratum").select(
+        lookup(ranked, ["stratum"], ["at"], strata).select(
             *keyed.columns, ((F.col("at") - F.col("first") + F.lit(0.5)) / F.col("rows")).alias("frac")
         ),
         "shard-ranks",

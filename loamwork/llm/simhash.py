@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from loamwork.llm.components import components
 from loamwork.llm.texts import chunks
+from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
 RADIUS = 3
@@ -259,5 +260,5 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = RADIUS, n_
     least = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     groups = components(near_links(least, radius, bands))
     named = least.join(groups, least["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    ids = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = lookup(named, ["component"], ["fp"], named.groupBy("component").agg(F.min("least").alias("component_id"))).select("fp", "component_id")
+    return lookup(prints, ["fp"], ["doc_id"], ids).select("doc_id", "fp", "component_id")
