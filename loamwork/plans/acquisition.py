@@ -49,7 +49,7 @@ def latest_status(spark, sf_dir):
 @register(
     "status_by_year",
     """
-    SELECT o_custkey AS company, count_if(year(o_orderdate) = 1995) AS y1995, count_if(year(o_orderdate) = 1996) AS y1996, count_if(year(o_orderdate) = 1997) AS y1997
+    SELECT o_custkey AS company, count(*) FILTER (year(o_orderdate) = 1995) AS y1995, count(*) FILTER (year(o_orderdate) = 1996) AS y1996, count(*) FILTER (year(o_orderdate) = 1997) AS y1997
     FROM orders GROUP BY o_custkey
     """,
 )

@@ -40,9 +40,9 @@ def topic_keywords(spark, sf_dir):
     "page_statistics",
     """
     WITH p AS (SELECT conv_id AS doc_id, length(text) AS raw, length(trim(text)) AS n FROM conversations)
-    SELECT doc_id, count(*) AS pages, count_if(n = 0) AS empty_pages, count_if(n BETWEEN 1 AND 100) AS low_pages,
-           count_if(n BETWEEN 101 AND 1000) AS medium_pages, count_if(n > 1000) AS high_pages,
-           round(100.0 * count_if(n > 50) / count(*), 4) AS coverage, sum(n)::BIGINT AS chars, round(avg(raw), 4) AS mean_raw,
+    SELECT doc_id, count(*) AS pages, count(*) FILTER (n = 0) AS empty_pages, count(*) FILTER (n BETWEEN 1 AND 100) AS low_pages,
+           count(*) FILTER (n BETWEEN 101 AND 1000) AS medium_pages, count(*) FILTER (n > 1000) AS high_pages,
+           round(100.0 * count(*) FILTER (n > 50) / count(*), 4) AS coverage, sum(n)::BIGINT AS chars, round(avg(raw), 4) AS mean_raw,
            min(n) AS least, max(n) AS most, median(CASE WHEN n > 0 THEN n END)::DOUBLE AS middle,
            round(coalesce(stddev_samp(CASE WHEN n > 0 THEN n END), 0), 2) AS deviation
     FROM p GROUP BY doc_id

@@ -24,8 +24,13 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def sql_of(name: str) -> str:
+    """The SQL of a query that is already registered, to build others on."""
+    return _SQL[name]
+
+
 def _load() -> None:
-    from loamwork.plans import acquisition, documents  # noqa: F401  (they register themselves)
+    from loamwork.plans import acquisition, documents, lines, topics  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
