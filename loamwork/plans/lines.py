@@ -200,7 +200,7 @@ def without_repeated_edges(pages: list[str], share: float = 0.7, similar: float
 
     The edges of a page are its first and last three lines of over three characters. An
     edge line joins the first group whose leader it resembles; groups with as many
-    lines as ``share`` of the pages are headers or footers.
+    lines as ``share`` of the pages are headers or footers, so a single page loses its edges.
     """
     alike = lambda a, b: a == b or difflib.SequenceMatcher(None, a, b).ratio() >= similar
     groups: dict[str, int] = {}
@@ -209,7 +209,7 @@ def without_repeated_edges(pages: list[str], share: float = 0.7, similar: float
         for line in [*long[:3], *long[-3:]]:
             leader = next((g for g in groups if alike(g, line)), line)
             groups[leader] = groups.get(leader, 0) + 1
-    repeated = [g for g, n in groups.items() if n >= share * len(pages) and n > 1]
+    repeated = [g for g, n in groups.items() if n >= share * len(pages)]
     gone = lambda x: _PAGE_MARK.fullmatch(x) or any(alike(g, x) for g in repeated)
     return ["\n".join(x for x in page.split("\n") if not gone(x.strip())) for page in pages]
 
