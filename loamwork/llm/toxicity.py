@@ -60,9 +60,13 @@ _HIDDEN = r"[a-z][0-9@$!+(]|[0-9@$!+(][a-z]|[a-z][.\-_*~'|/,]+[a-z]|€|" + "|".
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SINGLE = re.compile(r"[a-z0-9@$!+]")
 
-#: A word joins the lexicon if it stands in at least MIN_DOCS labelled toxic documents
-#: and MIN_SHARE of them, and MIN_PRECISION of the labelled documents with it are toxic.
-MIN_DOCS, MIN_SHARE, MIN_PRECISION, MAX_WORDS = 4, 0.01, 0.8, 4096
+#: A word may join a lexicon if it stands in at least MIN_DOCS labelled toxic documents
+#: and in one of SHARES of them, and MIN_PRECISION of the labelled documents with it are
+#: toxic. Which share is used is decided on training rows, each held against a lexicon
+#: learned from the other half of them.
+MIN_DOCS, MIN_PRECISION, MAX_WORDS = 4, 0.8, 4096
+SHARES = (0.005, 0.01, 0.015, 0.02, 0.03, 0.05)
+HALVES = 2
 
 
 def character_counts(docs: DataFrame) -> np.ndarray:
@@ -214,7 +218,8 @@ def _decoder(costs: np.ndarray) -> Decoder:
 
 
 def word_table(labelled: DataFrame, costs) -> DataFrame:
-    """(word, toxic, n): how many labelled documents (text, toxic) have each restored word."""
+    """How many labelled documents (text, toxic, half) have each restored word: word, c<half> of clean and t<half> of toxic ones."""
+    names = [f"{kind}{half}" for kind in "ct" for half in range(HALVES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(costs.value)
@@ -233,38 +238,46 @@ def word_table(labelled: DataFrame, costs) -> DataFrame:
             word = np.concatenate([word, np.array([w for _, w in extra], np.int64)])
             n = max(1, len(number))
             pairs = np.unique(docs_ * n + word)
-            toxic = rows.column("toxic").to_numpy(zero_copy_only=False)[pairs // n]
-            names = [*number]
-            for label in (0, 1):
-                seen = np.bincount((pairs % n)[toxic == label], minlength=len(names))
-                there = np.flatnonzero(seen)
-                yield pa.RecordBatch.from_pydict(
-                    {"word": pa.array([names[k] for k in there.tolist()], pa.string()), "toxic": pa.array(np.full(len(there), label, np.int32)), "n": pa.array(seen[there])}
-                )
-
-    return labelled.select("text", "toxic").mapInArrow(run, "word string, toxic int, n long").groupBy("word", "toxic").agg(F.sum("n").alias("n"))
-
-
-def learn_lexicon(labelled: DataFrame, costs) -> dict[str, float]:
-    """Log odds of words by their presence in toxic and other labelled documents."""
-    totals = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic:
-        return {}
-    table = word_table(labelled, costs).groupBy("word").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")
-    )
-    least = max(MIN_DOCS, MIN_SHARE * toxic)
-    # each word stands in MIN_SHARE of the toxic documents; MAX_WORDS bounds the lexicon
-    kept = table.filter((F.col("a") >= least) & (F.col("a") >= MIN_PRECISION * (F.col("a") + F.col("b")))).orderBy(F.desc("a"), "word").limit(MAX_WORDS)
-    return {r["word"]: math.log((r["a"] + 0.5) / (toxic + 1)) - math.log((r["b"] + 0.5) / (clean + 1)) for r in kept.collect()}
+            kind = rows.column("toxic").to_numpy(zero_copy_only=False) * HALVES + rows.column("half").to_numpy(zero_copy_only=False)
+            seen = np.bincount((pairs % n) * len(names) + kind[pairs // n], minlength=n * len(names)).reshape(n, -1)[: len(number)]
+            yield pa.RecordBatch.from_pydict({"word": pa.array([*number], pa.string())} | {c: pa.array(seen[:, k].astype(np.int64)) for k, c in enumerate(names)})
+
+    counted = labelled.select("text", "toxic", "half").mapInArrow(run, "word string, " + ", ".join(f"{c} long" for c in names))
+    return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in names))
+
+
+def learn_lexicons(labelled: DataFrame, costs) -> list[dict[str, tuple[float, int]]]:
+    """Words with their log odds and how many of SHARES they reach: by all labelled rows, and by the rows outside each half."""
+    totals = {(r["toxic"], r["half"]): r["count"] for r in labelled.groupBy("toxic", "half").count().collect()}
+    if not any(toxic for toxic, _ in totals):
+        return [{}] * (1 + HALVES)
+    used = [[*range(HALVES)], *([h for h in range(HALVES) if h != out] for out in range(HALVES))]
+    size = [[sum(totals.get((toxic, h), 0) for h in halves) for toxic in (0, 1)] for halves in used]
+    least = [[max(MIN_DOCS * len(halves) / HALVES, share * n[1]) for share in SHARES] for halves, n in zip(used, size, strict=True)]
+    clean, toxic = ([sum((F.col(f"{kind}{h}") for h in halves), F.lit(0)) for halves in used] for kind in "ct")
+    passes = [(t >= m[0]) & (t >= MIN_PRECISION * (t + c)) for c, t, m in zip(clean, toxic, least, strict=True)]
+    table = materialise(word_table(labelled, costs).filter(passes[0] | passes[1] | passes[2]), "toxic-words")
+    out = []
+    for c, t, ok, m, (n_clean, n_toxic) in zip(clean, toxic, passes, least, size, strict=True):
+        # MAX_WORDS bounds a lexicon
+        kept = table.filter(ok).select("word", c.alias("c"), t.alias("t")).orderBy(F.desc("t"), "word").limit(MAX_WORDS).collect()
+        odds = lambda r: math.log((r["t"] + 0.5) / (n_toxic + 1)) - math.log((r["c"] + 0.5) / (n_clean + 1))  # noqa: E731, B023
+        out.append({r["word"]: (odds(r), sum(r["t"] >= x for x in m)) for r in kept})
+    return out
 
 
-def lexicon_sums(docs: DataFrame, costs, lexicon: dict[str, float], columns: list[str]) -> DataFrame:
-    """``columns``, evidence (sum of the log odds of the distinct lexicon words of the restored text) and words found."""
-    number = {w: k for k, w in enumerate(lexicon)}
-    weights = list(lexicon.values())
-    names = list(lexicon)
+def lexicon_sums(docs: DataFrame, costs, lexicons: list[dict[str, tuple[float, int]]], columns: list[str]) -> DataFrame:
+    """``columns`` and what the restored text's distinct lexicon words say.
+
+    evidence: the sum of their log odds for each of SHARES; apart: the same by the
+    lexicon that knows nothing of the row's half; found: the words with their levels.
+    """
+    number = {w: k for k, w in enumerate(dict.fromkeys(w for x in lexicons for w in x))}
+    names, levels = [*number], [lexicons[0].get(w, (0.0, 0))[1] for w in number]
+    weights = np.zeros((len(number), len(lexicons), len(SHARES)))
+    for k, lexicon in enumerate(lexicons):
+        for w, (odds, level) in lexicon.items():
+            weights[number[w], k, :level] = odds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(costs.value)
@@ -277,20 +290,26 @@ def lexicon_sums(docs: DataFrame, costs, lexicon: dict[str, float], columns: lis
                 found[doc[k]].update(hit[code[k]])
             for d, ws in spaced:
                 found[d].update(number[w] for w in ws if w in number)
+            half = rows.column("__half").to_pylist()
+            sums = [weights[sorted(f)].sum(0) for f in found]
             yield pa.RecordBatch.from_pydict(
                 {c: rows.column(c) for c in columns}
                 | {
-                    "evidence": pa.array([sum(weights[k] for k in sorted(f)) for f in found], pa.float64()),
-                    "found": pa.array([sorted(names[k] for k in f) for f in found], pa.list_(pa.string())),
+                    "evidence": pa.array([s[0].tolist() for s in sums], pa.list_(pa.float64())),
+                    "apart": pa.array([s[1 + h].tolist() for s, h in zip(sums, half, strict=True)], pa.list_(pa.float64())),
+                    "found": pa.array(
+                        [[{"word": names[k], "level": levels[k]} for k in sorted(f, key=names.__getitem__) if levels[k]] for f in found],
+                        pa.list_(pa.struct([("word", pa.string()), ("level", pa.int32())])),
+                    ),
                 }
             )
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, f"{fields}, evidence double, found array<string>")
+    return docs.select(*dict.fromkeys([*columns, "text", "__half"])).mapInArrow(run, f"{fields}, evidence array<double>, apart array<double>, found array<struct<word:string,level:int>>")
 
 
-def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of a logistic regression on weighted rows, by Newton's method, slightly shrunk.
+def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
+    """Loss, intercept and slope of a logistic regression on weighted rows, by Newton's method, slightly shrunk.
 
     A step that raises the loss is halved, so the method also ends where words tell
     all toxic rows from the others.
@@ -313,7 +332,7 @@ def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[f
         a, b = a + step[0], b + step[1]
         if abs(step).max() < 1e-9:
             break
-    return float(a), float(b)
+    return loss(a, b), float(a), float(b)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -326,28 +345,39 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[s
     Repeated rows are each scored, and each learned from; of repeated labels of a
     doc_id the largest counts. An empty table gives an empty result. Extra columns are
     not read, but for ``keep``.
+
+    The lexicon's share and the logistic function are fitted on training rows whose
+    evidence comes from the other half of them; halves are by the text's hash, so copies
+    fall into one.
     """
     spark = docs.sparkSession
-    rows = docs.withColumn("__held", F.coalesce(held_out, F.lit(True)))
+    half = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(HALVES)).cast("int")
+    rows = docs.select("*", F.coalesce(held_out, F.lit(True)).alias("__held"), half.alias("__half"))
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     costs = spark.sparkContext.broadcast(character_model(character_counts(docs)))
-    training = rows.filter(~F.col("__held")).select("doc_id", "text").join(known.hint("merge"), "doc_id")
-    lexicon = learn_lexicon(training, costs)
+    training = rows.filter(~F.col("__held")).select("doc_id", "text", F.col("__half").alias("half")).join(known.hint("merge"), "doc_id")
+    lexicons = learn_lexicons(training, costs)
     columns = [*dict.fromkeys(["doc_id", *keep, "__held"])]
-    sums = materialise(lexicon_sums(rows, costs, lexicon, columns), "toxic-evidence")
-    # evidence in steps of 1/16: as many rows as the lexicon's sums have values
+    sums = materialise(lexicon_sums(rows, costs, lexicons, columns), "toxic-evidence")
+    # evidence in steps of 1/16: as many rows as the lexicons' sums have values
     bins = (
         sums.filter(~F.col("__held"))
+        .select("doc_id", F.posexplode("apart").alias("share", "apart"))
         .join(known, "doc_id")
-        .groupBy(F.round(F.col("evidence") * 16).alias("bin"), "toxic")
+        .groupBy("share", F.round(F.col("apart") * 16).alias("bin"), "toxic")
         .count()
         .collect()
     )
+    best = 0
     if any(r["toxic"] == 1 for r in bins):
-        a, b = _logistic(*(np.array([f(r) for r in bins], float) for f in (lambda r: r["bin"] / 16, lambda r: r["toxic"], lambda r: r["count"])))
-        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("evidence"))))
+        fits = [_logistic(*np.array([(r["bin"] / 16, r["toxic"], r["count"]) for r in bins if r["share"] == k], float).T) for k in range(len(SHARES))]
+        best = min(reversed(range(len(SHARES))), key=lambda k: fits[k][0])  # of equal ones the largest share
+        _, a, b = fits[best]
+        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("evidence")[best])))
     else:
         score = F.lit(0.0)
-    return sums.select("doc_id", *[c for c in columns[1:] if c != "__held"], F.col("__held").alias("held_out"), score.alias("score"), "found").select(
-        "doc_id", *[c for c in columns[1:] if c != "__held"], "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "found"
+    kept = [c for c in columns[1:] if c != "__held"]
+    found = F.transform(F.filter("found", lambda x: x["level"] > best), lambda x: x["word"])
+    return sums.select("doc_id", *kept, F.col("__held").alias("held_out"), score.alias("score"), found.alias("found")).select(
+        "doc_id", *kept, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "found"
     )
