@@ -30,7 +30,7 @@ def sql_of(name: str) -> str:
 
 
 def _load() -> None:
-    from loamwork.plans import acquisition, documents, lines, matching, topics  # noqa: F401  (they register themselves)
+    from loamwork.plans import acquisition, documents, layout, lines, matching, topics  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
