@@ -30,7 +30,8 @@ def sql_of(name: str) -> str:
 
 
 def _load() -> None:
-    from loamwork.plans import acquisition, documents, layout, lines, matching, topics  # noqa: F401  (they register themselves)
+    from loamwork.plans import acquisition, documents, layout, lines, matching, topic_models, topics  # noqa: F401  (they register themselves)
+    from loamwork.streaming import attempts  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
