@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, hold, words_of
+from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, hold, settle, words_of
 from loamwork.session import materialise
 
 # Letters that digits and symbols may stand for.
@@ -205,6 +205,8 @@ def _restored(decoder: Decoder, data: np.ndarray, at: np.ndarray) -> tuple[np.nd
     return coded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(ends) - 1), np.diff(ends)), words, spaced
 
 
+#: Bytes of text whose distinct tokens are held at once.
+_CHUNK = 1 << 20
 _decoders: dict[int, Decoder] = {}
 
 
@@ -217,13 +219,18 @@ def _decoder(costs: np.ndarray) -> Decoder:
     return _decoders[key]
 
 
+def _done() -> None:
+    _decoders.clear()
+    settle()
+
+
 def word_table(labelled: DataFrame, costs) -> DataFrame:
     """How many labelled documents (text, toxic, half) have each restored word: word, c<half> of clean and t<half> of toxic ones."""
     names = [f"{kind}{half}" for kind in "ct" for half in range(HALVES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(costs.value)
-        for rows, data, at in chunks(batches):
+        for rows, data, at in chunks(batches, limit=_CHUNK):
             code, doc, words, spaced = _restored(decoder, data, at)
             number: dict[str, int] = {}
             of_token = [[number.setdefault(w, len(number)) for w in {*ws}] for ws in words]
@@ -241,6 +248,7 @@ def word_table(labelled: DataFrame, costs) -> DataFrame:
             kind = rows.column("toxic").to_numpy(zero_copy_only=False) * HALVES + rows.column("half").to_numpy(zero_copy_only=False)
             seen = np.bincount((pairs % n) * len(names) + kind[pairs // n], minlength=n * len(names)).reshape(n, -1)[: len(number)]
             yield pa.RecordBatch.from_pydict({"word": pa.array([*number], pa.string())} | {c: pa.array(seen[:, k].astype(np.int64)) for k, c in enumerate(names)})
+        _done()
 
     counted = labelled.select("text", "toxic", "half").mapInArrow(run, "word string, " + ", ".join(f"{c} long" for c in names))
     return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in names))
@@ -281,7 +289,7 @@ def lexicon_sums(docs: DataFrame, costs, lexicons: list[dict[str, tuple[float, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(costs.value)
-        for rows, data, at in chunks(batches):
+        for rows, data, at in chunks(batches, limit=_CHUNK):
             code, doc, words, spaced = _restored(decoder, data, at)
             hit = [[number[w] for w in ws if w in number] for ws in words]
             has = np.fromiter(map(bool, hit), bool, len(hit))
@@ -303,6 +311,7 @@ def lexicon_sums(docs: DataFrame, costs, lexicons: list[dict[str, tuple[float, i
                     ),
                 }
             )
+        _done()
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     return docs.select(*dict.fromkeys([*columns, "text", "__half"])).mapInArrow(run, f"{fields}, evidence array<double>, apart array<double>, found array<struct<word:string,level:int>>")
