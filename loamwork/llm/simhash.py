@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamwork.llm.components import components
-from loamwork.llm.texts import chunks
+from loamwork.llm.texts import chunks, settle
 from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
@@ -45,6 +45,8 @@ HASH_SEED = 42
 #: Distinct fingerprints for each shard that the depth aims at, and the sample for medians.
 SHARD_ROWS, SAMPLE = 16_384, 20_000
 _LEAF = 256
+#: Bytes of text that are held at once.
+_CHUNK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -113,10 +115,11 @@ def fingerprints(docs: DataFrame, width: int, n_words: int = 1, repeats: bool =
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, at in chunks(batches):
+        for rows, data, at in chunks(batches, limit=_CHUNK):
             raw = data.tobytes()
             fp = [fingerprint(raw[a:b], width, n_words, repeats) for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "fp": pa.array(fp, pa.binary())})
+        settle()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary")
 
@@ -236,6 +239,7 @@ def near_links(distinct: DataFrame, radius: int, bands: Bands, shard_rows: int =
             for band in range(len(bands)):
                 row, shard, home = forest.shards(fp, band)
                 yield pa.RecordBatch.from_pydict({"band": pa.array(np.full(len(row), band, np.int32)), "shard": pa.array(shard), "home": pa.array(home), "fp": batch.column("fp").take(pa.array(row))})
+        settle()
 
     def search(key, rows):
         rows = rows.sort_by("fp")
