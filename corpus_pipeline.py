@@ -27,6 +27,8 @@ from loamwork.session import materialise, release_steps
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 _ROWS = "pipeline-"
+#: Less than the operator takes alone: here the executors' heaps have grown in earlier stages.
+_CHUNK = 1 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +71,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences of 1024."""
     release_steps(spark, keep=_ROWS)
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, length=1024)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, length=1024, chunk_bytes=_CHUNK)
 
 
 def _matching(rows: DataFrame, marked: DataFrame, how: str) -> DataFrame:
