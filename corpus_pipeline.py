@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamwork.llm.exact_dedup import exact_dedup
+from loamwork.llm.near_dedup import near_components
 from loamwork.llm.packing import pack
 from loamwork.llm.quality import quality_rules
 from loamwork.llm.queries import remainder
-from loamwork.llm.simhash import LONG, SIMILAR, radius_of, simhash_components
 from loamwork.llm.toxicity import toxicity
 from loamwork.session import materialise, release_steps
 
@@ -62,8 +62,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingles, the one with the least doc_id."""
     release_steps(spark, keep=_ROWS)
-    radius = radius_of(SIMILARITY - 0.01, LONG)  # the estimate errs to both sides
-    linked = simhash_components(docs, SHINGLE_WORDS, radius, LONG, SIMILAR, repeats=False)
+    linked = near_components(docs, SHINGLE_WORDS, SIMILARITY)
     gone = materialise(linked.filter("doc_id <> component_id").select("doc_id"), "near-copies").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -87,19 +87,23 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: bytes, width: int, n_words: int = 1, repeats: bool = True) -> bytes:
-    """SimHash of lower-cased words' shingles, big-endian; no words give zeros. With ``repeats`` a shingle counts each time."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """A hash of each shingle of lower-cased words, in order; none for a text without words."""
     words = text.lower().split()  # bytes: A-Z only, and ASCII white space
     if not words:
-        return bytes(8 * n_words)
+        return np.zeros(0, np.uint64)
     if len(words) < width:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(width)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, HASH_SEED) for s in shingles), np.uint64, max(1, len(words) - width + 1))
-    if not repeats:
-        hashes = np.unique(hashes)
+    return np.fromiter((digest(s, HASH_SEED) for s in shingles), np.uint64, max(1, len(words) - width + 1))
+
+
+def fingerprint_of(hashes: np.ndarray, n_words: int = 1) -> bytes:
+    """SimHash of shingle hashes, big-endian; none give zeros."""
+    if not len(hashes):
+        return bytes(8 * n_words)
     out = b""
     for word in range(n_words):
         ones = np.zeros(64, np.int64)
@@ -110,6 +114,12 @@ def fingerprint(text: bytes, width: int, n_words: int = 1, repeats: bool = True)
     return out
 
 
+def fingerprint(text: bytes, width: int, n_words: int = 1, repeats: bool = True) -> bytes:
+    """SimHash of lower-cased words' shingles; no words give zeros. With ``repeats`` a shingle counts each time."""
+    hashes = shingle_hashes(text, width)
+    return fingerprint_of(hashes if repeats else np.unique(hashes), n_words)
+
+
 def fingerprints(docs: DataFrame, width: int, n_words: int = 1, repeats: bool = True) -> DataFrame:
     """doc_id and fp (binary) of every row; a null text is empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
