@@ -31,8 +31,10 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MIN_CHARS_FOR_CLASSES = 200
 MIN_WORDS_FOR_COMMON = 150
+# Between the distances of documents labelled good and bad at sf0.1: by classes, good ones reach
+# 0.233; by words, good ones reach 0.189, and a text without a common word has 0.304 at least.
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.6
+MAX_WORD_DISTANCE = 0.21
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
