@@ -1,14 +1,19 @@
-"""Token ids by the tokenizers library, with a cache of what stands between cuts that no token crosses."""
+"""Token ids by the tokenizers library, with a cache of what stands between cuts that no token crosses.
+
+Texts that hold the content of an added token (such as <|endoftext|>), in any case, go
+whole to the library, which makes one id of it; the cuts would part it.
+"""
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
 import numpy as np
 
 from loamwork.llm.pretokenize import slice_starts
-from loamwork.llm.texts import LOWER, IdCache, hold
+from loamwork.llm.texts import LOWER, IdCache, hold, ragged
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -51,7 +56,8 @@ class LibraryTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content.decode())
-        self.tokenizer.encode_special_tokens = True
+        # what marks added tokens, in lower case
+        self.added = sorted({t["content"].lower().encode() for t in json.loads(content).get("added_tokens") or []})
         self.cut = CUTS[cut]
         self.cache = IdCache(self._encode_many)
 
@@ -60,10 +66,40 @@ class LibraryTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of UTF-8 texts end to end, each with ``end_id`` after it, and the offsets of each text's ids."""
-        data, starts, offsets = self.cut(data, offsets)
-        ids, ends = self.cache.encode(data, starts, np.searchsorted(starts, offsets[:-1]))
+        whole = self._with_added(data, offsets)
+        if not len(whole):
+            ids, ends = self._encode_cut(data, offsets)
+        else:
+            size = np.diff(offsets)
+            rest = size.copy()
+            rest[whole] = 0
+            ids, ends = self._encode_cut(ragged(data, offsets[:-1], rest), np.append(0, np.cumsum(rest)))
+            raw = data.tobytes()
+            parts, length, done = [], np.diff(ends), 0
+            for k, new in zip(whole.tolist(), self._encode_many([raw[offsets[k] : offsets[k + 1]] for k in whole.tolist()]), strict=True):
+                parts += [ids[done : ends[k]], np.array(new, ids.dtype)]
+                done, length[k] = ends[k], len(new)
+            ids, ends = np.concatenate([*parts, ids[done:]]), np.append(0, np.cumsum(length))
         return np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
 
+    def _encode_cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data, starts, offsets = self.cut(data, offsets)
+        return self.cache.encode(data, starts, np.searchsorted(starts, offsets[:-1]))
+
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Numbers of the texts that hold the content of an added token."""
+        raw, found = data.tobytes().lower(), []
+        for mark in self.added:
+            at = raw.find(mark)
+            while at >= 0:
+                k = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(mark) <= offsets[k + 1]:
+                    found.append(k)
+                    at = raw.find(mark, int(offsets[k + 1]))
+                else:
+                    at = raw.find(mark, at + 1)
+        return np.unique(np.array(found, np.int64))
+
 
 _loaded: dict[tuple[int, str], LibraryTokenizer] = {}
 
