@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,24 +46,40 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-_steps: list[str] = []
+_recording: ContextVar[list[str] | None] = ContextVar("recording", default=None)
+
+
+@contextmanager
+def steps_into(paths: list[str]) -> Iterator[None]:
+    """Add to ``paths`` what new_path() names inside, so that its user can delete it.
+
+    Each user has a list of its own; tables of other users are not touched. In nested
+    uses the innermost list gets the paths.
+    """
+    before = _recording.set(paths)
+    try:
+        yield
+    finally:
+        _recording.reset(before)
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _steps.append(path)
+    paths = _recording.get()
+    if paths is not None:
+        paths.append(path)
     return path
 
 
-def release_steps(spark: SparkSession, keep: str) -> None:
-    """Delete what new_path() has named so far, but for tags that begin with ``keep``.
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete the tables at ``paths`` and empty the list.
 
     Only when no DataFrame that reads those tables is used any more.
     """
-    for path in [p for p in _steps if not p.rsplit("/", 1)[-1].startswith(keep)]:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    while paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(paths[-1])
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        _steps.remove(path)
+        paths.pop()
 
 
 def materialise(df: DataFrame, tag: str = "step") -> DataFrame:
