@@ -2,8 +2,9 @@
 
 Slices come from array operations (pretokenize). Distinct slices of a run of texts are
 looked up in a cache; those not in it are merged together, one merge for each slice in
-each round, by arrays of pair ranks. Byte offsets of the tokens come with the ids if
-asked for; decoding gathers the bytes of all tokens at once.
+each round, by arrays of pair ranks. The byte where each token begins comes with the ids
+and is kept; decoding puts the bytes of all tokens at their offsets at once, and any span
+of bytes can be decoded by the tokens that lie in it (decode_span).
 """
 
 from __future__ import annotations
@@ -23,20 +24,40 @@ from loamwork.llm.texts import IdCache, chunks, hold, lists, ragged
 NONE = np.iinfo(np.int32).max
 #: Slices up to these many bytes are merged in arrays, longer ones by a heap.
 WIDTHS = (4, 8, 12, 16, 24, 48)
+#: Bytes of text that are held at once, with their ids and offsets.
+_CHUNK = 2 << 20
 
 
-class Vocabulary:
-    """A rank file: base64 bytes and their rank, which is the token id, on each line."""
+class Tokens:
+    """The tokens' bytes of a rank file, which has base64 bytes and their rank, the token id, on each line."""
 
     def __init__(self, content: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
-        n = 1 + max(self.ranks.values())
+        self._read({base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())})
+
+    def _read(self, ranks: dict[bytes, int]) -> None:
+        n = 1 + max(ranks.values())
         tokens = [b""] * n
-        for token, rank in self.ranks.items():
+        for token, rank in ranks.items():
             tokens[rank] = token
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.length = np.fromiter(map(len, tokens), np.int64, n)
         self.start = np.cumsum(self.length) - self.length
+
+    def decode(self, ids: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+        """``size`` bytes with each token's bytes where it begins; bytes that no token covers are zero."""
+        length = self.length[ids]
+        out = np.zeros(size, np.uint8)
+        within = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        out[np.repeat(begin, length) + within] = ragged(self.blob, self.start[ids], length)
+        return out
+
+
+class Vocabulary(Tokens):
+    """A rank file with what merging needs."""
+
+    def __init__(self, content: bytes):
+        super().__init__(content)
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         get, pairs = self.ranks.get, {}
         for token, rank in self.ranks.items():
@@ -129,24 +150,21 @@ class Vocabulary:
         starts = slice_starts(data, offsets)
         return self.cache.encode(data, starts, np.searchsorted(starts, offsets[:-1]))
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        return ragged(self.blob, self.start[ids], self.length[ids])
-
 
-_loaded: dict[int, Vocabulary] = {}
+_loaded: dict[tuple[type, int], Tokens] = {}
 
 
-def vocabulary(content: bytes) -> Vocabulary:
-    """The vocabulary of a rank file, once in each worker process."""
+def vocabulary(content: bytes, kind: type = Vocabulary) -> Tokens:
+    """The vocabulary of a rank file, or its tokens alone, once in each worker process."""
     hold("vocabulary", _loaded.clear)
-    key = zlib.crc32(content)
+    key = kind, zlib.crc32(content)
     if key not in _loaded:
-        _loaded[key] = Vocabulary(content)
+        _loaded[key] = kind(content)
     return _loaded[key]
 
 
-def encode(docs: DataFrame, ranks_path: str, offsets: bool = False) -> DataFrame:
-    """doc_id and ids (array<int>) of every row of ``docs``; with ``offsets``, the byte where each token begins.
+def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
+    """doc_id, ids and offsets (array<int>, the byte where each token begins) of every row of ``docs``.
 
     Nulls: a null text is empty and has no ids; a null doc_id is kept. Repeated rows
     are each encoded. An empty table gives an empty result. Extra columns are not read.
@@ -158,34 +176,53 @@ def encode(docs: DataFrame, ranks_path: str, offsets: bool = False) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(content.value)
-        for rows, data, at in chunks(batches):
+        for rows, data, at in chunks(batches, limit=_CHUNK):
             ids, ends = v.encode(data, at)
-            out = {"doc_id": rows.column("doc_id"), "ids": lists(ids, ends, pa.int32())}
-            if offsets:
-                length = v.length[ids]
-                begin = np.cumsum(length) - length - np.repeat(at[:-1], np.diff(ends))
-                out["offsets"] = lists(begin, ends, pa.int32())
-            yield pa.RecordBatch.from_pydict(out)
+            length = v.length[ids]
+            begin = np.cumsum(length) - length - np.repeat(at[:-1], np.diff(ends))
+            yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": lists(ids, ends, pa.int32()), "offsets": lists(begin, ends, pa.int32())})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", offsets array<int>" * offsets)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """doc_id, ids and bytes (binary) of every row; null or no ids give no bytes."""
+    """doc_id, ids, offsets and bytes (binary) of every row, each token's bytes at its offset; null or no ids give no bytes.
+
+    A text has as many bytes as its last token reaches. Repeated rows are each decoded; an
+    empty table gives an empty result; extra columns are not read.
+    """
     with open(ranks_path, "rb") as f:
         content = encoded.sparkSession.sparkContext.broadcast(f.read())
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(content.value)
+        v = vocabulary(content.value, Tokens)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 rows = batch.slice(at, 512)
-                column = rows.column("ids").fill_null([]) if rows.column("ids").null_count else rows.column("ids")
-                ids = column.flatten().to_numpy(zero_copy_only=False)
-                ends = np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))
-                cut = np.append(0, np.cumsum(v.length[ids]))[ends].astype(np.int64)
-                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(cut), pa.py_buffer(v.decode(ids))])
-                yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": column, "bytes": raw.cast(pa.binary())})
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, bytes binary")
+                columns = [c.fill_null([]) if c.null_count else c for c in (rows.column("ids"), rows.column("offsets"))]
+                ids, begin = (c.flatten().to_numpy(zero_copy_only=False) for c in columns)
+                n = columns[0].value_lengths().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(n)
+                size = np.zeros(len(rows), np.int64)
+                last = ends[n > 0] - 1
+                size[n > 0] = begin[last] + v.length[ids[last]]
+                cut = np.append(0, np.cumsum(size))
+                raw = v.decode(ids, begin + np.repeat(cut[:-1], n), int(cut[-1]))
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(cut), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": columns[0], "offsets": columns[1], "bytes": texts.cast(pa.binary())})
+
+    return encoded.select("doc_id", "ids", "offsets").mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>, bytes binary")
+
+
+def decode_span(ids: list[int], offsets: list[int], tokens: Tokens, first: int, last: int) -> bytes:
+    """The bytes of a text from ``first`` up to ``last``, from the tokens that lie there alone."""
+    begin = np.asarray(offsets, np.int64)
+    a = max(0, int(np.searchsorted(begin, first, "right")) - 1)
+    b = int(np.searchsorted(begin, last))
+    if a >= b:
+        return b""
+    part = np.asarray(ids[a:b], np.int64)
+    size = int(begin[b - 1] - begin[a] + tokens.length[part[-1]])
+    raw = tokens.decode(part, begin[a:b] - begin[a], size).tobytes()
+    return raw[max(0, first - int(begin[a])) : last - int(begin[a])]

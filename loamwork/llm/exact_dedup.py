@@ -1,13 +1,14 @@
 """Exact duplicates by deterministic block naming.
 
 Every text is cut into blocks of a fixed number of bytes. Distinct blocks are sorted
-and get integer names; then adjacent names of a text are paired and distinct pairs get
-names, round after round, until each text has a single name. Two texts are equal if and
-only if they have the same number of blocks and the same last name.
+and get their ranks as integer names; then adjacent names of a text are paired and
+distinct pairs get their ranks as names, round after round, until each text has a single
+name. Two texts are equal if and only if they have the same number of blocks and the same
+last name. Names depend on the texts alone, not on how rows are dealt over tasks.
 
-Blocks are found again by two 64-bit hashes, but only after it has been checked on all
-blocks that no two different ones share them; otherwise other seeds are taken. So the
-names are free of collisions, not just unlikely to collide.
+Blocks are sorted and found again by two 64-bit hashes, but only after it has been checked
+on all blocks that no two different ones share them; otherwise other seeds are taken. So
+the names are free of collisions, not just unlikely to collide.
 
 Only DataFrame functions are used. Equal blocks and pairs are combined before they are
 shuffled, so a group that holds a third of all rows costs one row per task; joins back
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamwork.operators.ordering import with_global_index
 from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
@@ -57,13 +59,11 @@ def _names_of_blocks(texts: DataFrame, block_bytes: int) -> tuple[DataFrame, int
         named = materialise(
             block.groupBy(k1.alias("k1"), k2.alias("k2"))
             .agg(F.collect_set("block").alias("same"))
-            .select("k1", "k2", F.size("same").alias("n"), F.array_min("same").alias("block"))
-            .sortWithinPartitions("block")
-            .select("k1", "k2", "n", F.monotonically_increasing_id().alias("name")),
-            "block-names",
+            .select("k1", "k2", F.size("same").alias("n")),
+            "blocks",
         )
         if named.filter("n > 1").isEmpty():
-            return named.select("k1", "k2", "name"), seed
+            return with_global_index(named.select("k1", "k2"), ["k1", "k2"], "name"), seed
         seed += 1
 
 
@@ -126,10 +126,7 @@ def _paired(level: DataFrame) -> DataFrame:
             )
         ).alias("at", "pair"),
     ).select("row", "at", "pair.a", "pair.b")
-    names = materialise(
-        pairs.select("a", "b").distinct().sortWithinPartitions("a", "b").select("a", "b", F.monotonically_increasing_id().alias("name")),
-        "pair-names",
-    )
+    names = with_global_index(materialise(pairs.select("a", "b").distinct(), "pairs"), ["a", "b"], "name")
     return materialise(_gathered(lookup(pairs, ["a", "b"], ["row"], names)), "names")
 
 

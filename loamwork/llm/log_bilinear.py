@@ -1,23 +1,32 @@
 """Language-model scores by a log-bilinear model, trained with noise-contrastive estimation.
 
-The model predicts a class from the class before it. The HEAD most frequent words are
-classes of their own; other words share TAIL classes by their last two bytes, and the
-end of a text is a class. A context's vector is its embedding times a matrix; a class's
-score is the product with its own embedding plus a bias. Training (numpy, on the
-driver) sees the counts of adjacent classes over all training documents, a table whose
-size is bounded by the number of classes; the expectation over noise words is taken in
-full instead of by drawing. The log-probabilities are normalised exactly: matrix
-products give all scores of a batch of contexts, and their softmax is the table that
-scoring reads. A word of a tail class then costs its add-one share in the class.
-
-Counts of all words come from all training documents, by a shuffle on words. Scoring
-sends the COMMON most frequent words' counts to every task (a fixed number); the other
-words of all documents are joined with the counts.
+The model predicts a token from the POSITIONS tokens before it: each position has a
+matrix of its own, the sum of the contexts' vectors times these matrices is the
+predicted vector, and a token's score is its product with the token's own vector plus a
+bias. The most frequent words have vectors of their own; other words share vectors by
+their last two bytes and cost their add-one share among the words of that class. How
+many of both there are grows with the cube root of the number of distinct training
+words (class_sizes), so the vectors, the only thing besides word counts that is gathered
+from the corpus, grow with it without a bound, but slowly.
+
+Training runs where the texts are: in each of ROUNDS rounds every task starts from the
+same vectors, makes steps on all its texts in numpy (NOISE words drawn from the unigram
+distribution for each batch) and returns its vectors; they are averaged by numbers of
+tokens in a shuffle on the cells, and the driver gets one row for each cell. All
+training documents are used, however many there are; one round has as many steps as the
+texts have batches.
+
+Scores are normalised exactly: batches of distinct contexts are multiplied with all
+tokens' vectors, and the sums of the exponentials are taken. Counts of all words come
+from all training documents, by a shuffle on words. Scoring sends the COMMON most
+frequent words' counts to every task (a fixed number); the other words of all documents
+are joined with the counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +34,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, per_text, words_of
+from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, per_text, settle, words_of
 from loamwork.session import materialise
 
-HEAD, TAIL = 767, 256
 COMMON = 50_000
-DIMENSIONS, NOISE, STEPS, RATE, SEED = 32, 25.0, 150, 0.05, 7
-_CHUNK = 16 << 20
+POSITIONS, DIMENSIONS, NOISE, BATCH, RATE, ROUNDS, SEED = 3, 32, 64, 1024, 0.1, 1, 7
+#: Contexts whose scores of all tokens are held at once.
+_BLOCK = 512
+_CHUNK = 4 << 20
 
 
-def tail_class(data: np.ndarray, cut: np.ndarray, tail: int = TAIL) -> np.ndarray:
+def class_sizes(n_distinct: int) -> tuple[int, int]:
+    """(words with vectors of their own, classes of the other words) for a number of distinct words."""
+    root = max(0, n_distinct) ** (1 / 3)
+    return 128 + int(2 * root), 32 + int(root / 2)
+
+
+def tail_class(data: np.ndarray, cut: np.ndarray, tail: int) -> np.ndarray:
     """The tail class of words that lie end to end in ``data``, by their last two bytes."""
     end, begin = cut[1:], cut[:-1]
     last = data[end - 1].astype(np.int64)
@@ -70,81 +86,161 @@ def _classes(words: pa.BinaryArray, known: pa.Array, head: int, tail: int) -> tu
 
 
 def _with_ends(kinds: np.ndarray, ends: np.ndarray, end_class: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class before each token, and class of each token, ends of texts included."""
-    target = np.insert(kinds, ends[1:], end_class)
-    context = np.empty_like(target)
-    context[1:] = target[:-1]
-    if len(context):
-        context[0] = end_class
-    return context, target
+    """Classes at the POSITIONS before each token, nearest first, and class of each token, ends of texts included.
 
-
-def class_pairs(train: DataFrame, common: list[bytes], head: int, tail: int) -> np.ndarray:
-    """Counts of (class before, class) over all texts, as a square matrix."""
-    n = head + tail + 1
-    words_sent = train.sparkSession.sparkContext.broadcast(common[:head])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = pa.array(words_sent.value, pa.binary()), np.zeros(n * n, np.int64)
-        for _, data, at in chunks(batches):
-            words, ends = words_of(LOWER[data], at, NOT_SPACE)
-            context, target = _with_ends(_classes(words, known, head, tail)[1], ends, n - 1)
-            total += np.bincount(context * n + target, minlength=n * n)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"pair": pa.array(seen), "n": pa.array(total[seen])})
-
-    # n * n rows at most, whatever the input
-    rows = train.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(n * n)
-    out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
-    return out.reshape(n, n)
-
-
-def train_model(pairs: np.ndarray, dimensions: int = DIMENSIONS, noise: float = NOISE, steps: int = STEPS, rate: float = RATE, seed: int = SEED) -> np.ndarray:
-    """log10 P(class | class before) as a matrix, by noise-contrastive estimation on counted pairs.
-
-    The bias starts at the noise distribution's logarithm, so training starts from the
-    unigram model. Adam steps on all pairs; the seed fixes the first embeddings.
+    What lies before a text is the class of ends.
     """
-    n = len(pairs)
+    target = np.insert(kinds, ends[1:], end_class)
+    begin = np.repeat(ends[:-1] + np.arange(len(ends) - 1), np.diff(ends) + 1)
+    at = np.arange(len(target))
+    back = [np.where(at - k >= begin, target[np.maximum(at - k, 0)], end_class) for k in range(1, POSITIONS + 1)]
+    return np.stack(back, 1) if len(target) else np.zeros((0, POSITIONS), np.int64), target
+
+
+@dataclass
+class Model:
+    """Vectors of classes as contexts and as targets, a matrix for each position, and biases."""
+
+    context: np.ndarray
+    target: np.ndarray
+    matrix: np.ndarray
+    bias: np.ndarray
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.context, self.target, self.matrix, self.bias]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.parts()])
+
+    def filled(self, flat: np.ndarray) -> Model:
+        cuts = np.cumsum([x.size for x in self.parts()])[:-1]
+        return Model(*(v.reshape(x.shape).astype(x.dtype) for v, x in zip(np.split(flat, cuts), self.parts(), strict=True)))
+
+    def tables(self) -> np.ndarray:
+        """What each class adds to the predicted vector at each position."""
+        return np.einsum("nd,pde->pne", self.context, self.matrix)
+
+    def log10_normalisers(self, predicted: np.ndarray) -> np.ndarray:
+        """log10 of the sums of the exponentials of all classes' scores, for rows of predicted vectors."""
+        out = np.empty(len(predicted))
+        for at in range(0, len(predicted), _BLOCK):
+            scores = predicted[at : at + _BLOCK] @ self.target.T
+            scores += self.bias
+            top = scores.max(1, keepdims=True)
+            scores -= top
+            np.exp(scores, out=scores)
+            out[at : at + _BLOCK] = np.log(scores.sum(1, dtype=np.float64)) + top[:, 0]
+        return out / np.log(10)
+
+    def log10_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Normalised log10 P(class | classes before) of each row."""
+        n = len(self.bias)
+        code = np.zeros(len(before), np.int64)
+        for k in range(POSITIONS):
+            code = code * n + before[:, k]
+        _, first, again = np.unique(code, return_index=True, return_inverse=True)
+        tables = self.tables()
+        predicted = sum((tables[k][before[first, k]] for k in range(POSITIONS)), np.zeros((len(first), self.context.shape[1]), np.float32))
+        score = np.empty(len(before))
+        for at in range(0, len(before), 1 << 16):
+            rows = slice(at, at + (1 << 16))
+            score[rows] = np.einsum("nd,nd->n", predicted[again[rows]], self.target[target[rows]]) + self.bias[target[rows]]
+        return score / np.log(10) - self.log10_normalisers(predicted)[again]
+
+
+def initial_model(unigram: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> Model:
+    """Small random vectors; biases are the logarithms of the unigram distribution, so training starts from that model."""
     rng = np.random.default_rng(seed)
-    unigram = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * n)
-    weight = pairs / max(1.0, pairs.sum())
-    context_weight = weight.sum(1, keepdims=True)
-    p = {
-        "context": rng.normal(0, 0.1, (n, dimensions)),
-        "target": rng.normal(0, 0.1, (n, dimensions)),
-        "matrix": np.eye(dimensions),
-        "bias": np.log(unigram),
-    }
-    first = {k: np.zeros_like(v) for k, v in p.items()}
-    second = {k: np.zeros_like(v) for k, v in p.items()}
-    log_noise = np.log(noise * unigram)
-    for step in range(1, steps + 1):
-        predicted = p["context"] @ p["matrix"]
-        true = 1 / (1 + np.exp(log_noise - np.clip(predicted @ p["target"].T + p["bias"], -60, 60)))
-        slope = weight * (1 - true) - context_weight * (noise * unigram) * true
-        back = slope @ p["target"]
-        gradient = {
-            "context": back @ p["matrix"].T,
-            "target": slope.T @ predicted,
-            "matrix": p["context"].T @ back,
-            "bias": slope.sum(0),
-        }
-        pace = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, g in gradient.items():
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.98 * second[k] + 0.02 * g * g
-            p[k] = p[k] + pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.98**step)) + 1e-9)
-    table = np.empty((n, n))
-    for at in range(0, n, 256):
-        scores = p["context"][at : at + 256] @ p["matrix"] @ p["target"].T + p["bias"]
-        scores -= scores.max(1, keepdims=True)
-        table[at : at + 256] = (scores - np.log(np.exp(scores).sum(1, keepdims=True))) / np.log(10)
-    return table
-
-
-def score_documents(docs: DataFrame, held_out: Column, head: int = HEAD, tail: int = TAIL, n_common: int = COMMON) -> DataFrame:
+    n = len(unigram)
+    context, target = (rng.normal(0, 0.1, (n, dimensions)).astype(np.float32) for _ in range(2))
+    matrix = np.repeat(np.eye(dimensions, dtype=np.float32)[None] / POSITIONS, POSITIONS, 0)
+    return Model(context, target, matrix, np.log(unigram).astype(np.float32))
+
+
+class Trainer:
+    """Steps of noise-contrastive estimation on a model, with AdaGrad."""
+
+    def __init__(self, model: Model, unigram: np.ndarray, noise: int = NOISE, rate: float = RATE, seed: int = SEED):
+        self.model = Model(*(x.copy() for x in model.parts()))
+        self.log_noise = np.log(noise * unigram).astype(np.float32)
+        self.cumulated, self.noise, self.rate = np.cumsum(unigram), noise, rate
+        self.rng = np.random.default_rng(seed)
+        self.squares = [np.full_like(x, 1e-4) for x in self.model.parts()]
+
+    @staticmethod
+    def _summed(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Rows summed by the number in ``at``."""
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(at[order]) > 0))
+        out = np.zeros((n, rows.shape[1]), np.float32)
+        out[at[order[first]]] = np.add.reduceat(rows[order], first, axis=0)
+        return out
+
+    def step(self, before: np.ndarray, target: np.ndarray) -> None:
+        m, n = self.model, len(self.model.bias)
+        drawn = np.minimum(np.searchsorted(self.cumulated, self.rng.random(self.noise) * self.cumulated[-1]), n - 1)
+        inputs = [m.context[before[:, k]] for k in range(POSITIONS)]
+        predicted = sum(x @ m.matrix[k] for k, x in enumerate(inputs))
+        true = np.einsum("nd,nd->n", predicted, m.target[target]) + m.bias[target] - self.log_noise[target]
+        false = predicted @ m.target[drawn].T + m.bias[drawn] - self.log_noise[drawn]
+        up = (1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)
+        down = (1 / (1 + np.exp(np.clip(-false, -30, 30)))).astype(np.float32)
+        back = up[:, None] * m.target[target] - down @ m.target[drawn]
+        at = np.concatenate([target, drawn])
+        gradient = [
+            sum(self._summed(back @ m.matrix[k].T, before[:, k], n) for k in range(POSITIONS)),
+            self._summed(np.concatenate([up[:, None] * predicted, -(down.T @ predicted)]), at, n),
+            np.stack([x.T @ back for x in inputs]),
+            np.bincount(at, np.concatenate([up, -down.sum(0)]), minlength=n).astype(np.float32),
+        ]
+        for x, g, s in zip(m.parts(), gradient, self.squares, strict=True):
+            g /= len(target)
+            s += g * g
+            x += self.rate * g / np.sqrt(s)
+
+    def train(self, before: np.ndarray, target: np.ndarray) -> None:
+        """Steps on all rows once, in random order."""
+        order = self.rng.permutation(len(target))
+        for at in range(0, len(order), BATCH):
+            rows = order[at : at + BATCH]
+            self.step(before[rows], target[rows])
+
+
+def train_model(train: DataFrame, common: list[bytes], head: int, tail: int, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """The model after ``rounds`` rounds over all texts of ``train``, averaged over tasks after each.
+
+    Without texts it is the unigram model. A task's steps depend on its texts alone, so
+    one that is run again returns the same.
+    """
+    spark, n = train.sparkSession, head + tail + 1
+    model = initial_model(unigram)
+    for _ in range(rounds):
+        sent = spark.sparkContext.broadcast((common[:head], model, unigram))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, start, unigram = sent.value  # noqa: B023
+            known, trainer, seen = pa.array(words, pa.binary()), Trainer(start, unigram), 0
+            for _, data, at in chunks(batches, limit=_CHUNK):
+                found, ends = words_of(LOWER[data], at, NOT_SPACE)
+                before, target = _with_ends(_classes(found, known, head, tail)[1], ends, n - 1)
+                trainer.train(before, target)
+                seen += len(target)
+            cells = np.append(trainer.model.flat().astype(np.float64) * seen, seen)
+            yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(len(cells), dtype=np.int32)), "value": pa.array(cells)})
+            settle()
+
+        # one row for each cell of the model, whatever the input
+        rows = train.select("text").mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+        sent.destroy()
+        total = np.zeros(len(model.flat()) + 1)
+        total[rows.column("cell").to_numpy()] = rows.column("value").to_numpy()
+        if not total[-1]:
+            break
+        model = model.filled(total[:-1] / total[-1])
+    return model
+
+
+def score_documents(docs: DataFrame, held_out: Column, n_common: int = COMMON) -> DataFrame:
     """Train on rows of ``docs`` where ``held_out`` is false and score all of them.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10
@@ -161,8 +257,9 @@ def score_documents(docs: DataFrame, held_out: Column, head: int = HEAD, tail: i
     ends = train.count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_tokens, n_distinct = sums[0] + ends, sums[1] + (ends > 0)
+    head, tail = class_sizes(n_distinct)
     # a fixed number of rows
-    top = counts.orderBy(F.desc("c"), "word").limit(n_common).toArrow()
+    top = counts.orderBy(F.desc("c"), "word").limit(max(head, n_common)).toArrow()
     common, common_counts = top.column("word").to_pylist(), top.column("c").to_numpy()
 
     n = head + tail + 1
@@ -177,26 +274,27 @@ def score_documents(docs: DataFrame, held_out: Column, head: int = HEAD, tail: i
         seen = np.flatnonzero(distinct)
         yield pa.RecordBatch.from_pydict({"kind": pa.array(seen), "n": pa.array(total[seen]), "v": pa.array(distinct[seen])})
 
-    tail_size = np.ones(n)
+    seen, tail_size = np.append(np.zeros(n - 1), ends), np.ones(n)
     for r in counts.mapInArrow(tails, "kind long, n long, v long").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        seen[r["kind"]] += r["n"]
         tail_size[r["kind"]] += r["n"] + r["v"]
-    table = train_model(class_pairs(train, common, head, tail)).astype(np.float32)
-    # P(word | class) of a tail word is (c + 1) / tail_size; a head word is its class
+    model = train_model(train, common, head, tail, (seen + 0.5) / (seen.sum() + 0.5 * n))
+    # P(word | class) of a word without a vector of its own is (c + 1) / tail_size
     share = np.where((np.arange(n) >= head) & (np.arange(n) < head + tail), -np.log10(tail_size), 0.0)
-    sent = spark.sparkContext.broadcast((common, np.log10(common_counts + 1.0), table, share))
+    sent = spark.sparkContext.broadcast((common, np.log10(common_counts + 1.0), head, model, share))
     base_size, end_cost = np.log10(n_tokens + n_distinct + 1), np.log10(ends + 1.0)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, log_count, table, share = sent.value
+        common, log_count, head, model, share = sent.value
         known = pa.array(common, pa.binary())
         log_count = np.append(log_count, 0.0)
-        for rows, data, at in chunks(batches):
+        for rows, data, at in chunks(batches, limit=_CHUNK):
             words, cut = words_of(LOWER[data], at, NOT_SPACE)
             rank, kinds = _classes(words, known, head, tail)
-            context, target = _with_ends(kinds, cut, n - 1)
+            before, target = _with_ends(kinds, cut, n - 1)
             bounds = cut + np.arange(len(cut))
-            model = per_text(table[context, target].astype(np.float64) + share[target], bounds)
+            by_model = per_text(model.log10_probabilities(before, target) + share[target], bounds)
             counted = per_text(log_count[rank], cut)
             in_tail = per_text(np.where(kinds >= head, log_count[rank], 0.0), cut)
             size = np.diff(bounds)
@@ -209,10 +307,11 @@ def score_documents(docs: DataFrame, held_out: Column, head: int = HEAD, tail: i
                     "n_tokens": pa.array(size),
                     "n_known": pa.array(per_text(rank >= 0, cut) + (ends > 0)),
                     "base_score": pa.array(counted + end_cost - size * base_size),
-                    "score": pa.array(model + in_tail),
+                    "score": pa.array(by_model + in_tail),
                     "rest": pa.ListArray.from_arrays(pa.array(np.searchsorted(rest, cut).astype(np.int32)), words.take(pa.array(rest))),
                 }
             )
+        settle()
 
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rest array<binary>"
     scored = materialise(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, schema), "scored")

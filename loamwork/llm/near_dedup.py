@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamwork.llm.components import components
+from loamwork.llm.keeping import text_key
 from loamwork.llm.simhash import LONG, SAMPLE, SHARD_ROWS, Bands, Forest, _CHUNK, _LEAF, _Union, fingerprint_of, radius_of, shingle_hashes
 from loamwork.llm.texts import chunks, settle
 from loamwork.operators.salted import lookup
@@ -40,27 +41,27 @@ def _node(hashes: np.ndarray, n_words: int) -> bytes:
 
 
 def nodes(docs: DataFrame, width: int, n_words: int) -> DataFrame:
-    """doc_id, text_hash and node (fingerprint, hash and size of the shingle set) of every row."""
+    """doc_id, text_key and node (fingerprint, hash and size of the shingle set) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in chunks(batches, limit=_CHUNK):
             raw = data.tobytes()
             made = [_node(np.unique(shingle_hashes(raw[a:b], width)), n_words) for a, b in zip(at, at[1:], strict=False)]
-            yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "text_hash": rows.column("text_hash"), "node": pa.array(made, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "text_key": rows.column("text_key"), "node": pa.array(made, pa.binary())})
         settle()
 
-    return _hashed(docs).mapInArrow(run, f"doc_id {kind}, text_hash long, node binary")
+    return _hashed(docs).mapInArrow(run, f"doc_id {kind}, text_key string, node binary")
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, shingles): the sorted distinct shingle hashes of each node of ``wanted`` (node, doc_id, text_hash)."""
-    wanted = wanted.select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    texts = _hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select("node", "text")
+    """(node, shingles): the sorted distinct shingle hashes of each node of ``wanted`` (node, doc_id, text_key)."""
+    wanted = wanted.select("node", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    texts = _hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in chunks(batches, limit=_CHUNK):
@@ -181,26 +182,34 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_components(docs: DataFrame, width: int, similarity: float, bands: Bands = CANDIDATES, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, node, component_id, the least doc_id reachable by verified links.
-
-    Nulls: a null text is empty (an empty set, which only equals itself); null doc_ids
-    are not counted among the least. Repeated rows and equal sets are linked. An empty
-    table gives an empty result. Extra columns are not read.
+    """One row per row of ``docs``: doc_id, text_key, component_id, the least doc_id reachable by verified links, and kept.
+
+    kept is true for the row of each group that has the least doc_id, and of those the
+    least text_key. Nulls: a null text is empty (an empty set, which only equals itself);
+    a null doc_id comes after all others, and component_id is null where a group has no
+    other. Repeated rows and equal sets are linked; rows that repeat the kept one in
+    doc_id and text are all marked as kept. An empty table gives an empty result. Extra
+    columns are not read.
     """
     radius = radius_of(similarity - SLACK, LONG)
     made = materialise(nodes(docs, width, LONG), "near-nodes")
-    # the row that stands for a node, and the least doc_id of the node
-    distinct = materialise(made.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least")), "distinct-nodes")
+    # the row that stands for a node
+    distinct = materialise(made.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("row")), "distinct-nodes")
     forest = materialise(candidates(distinct, radius, similarity, bands, shard_rows), "near-forest")
     near = forest.select(F.col("a").alias("node")).union(forest.select(F.col("b").alias("node"))).distinct()
-    near = materialise(distinct.join(near, "node", "left_semi").select("node", "row.doc_id", "row.text_hash"), "near-candidates")
+    near = materialise(distinct.join(near, "node", "left_semi").select("node", "row.doc_id", "row.text_key"), "near-candidates")
     sets = materialise(shingle_sets(docs, near, width), "near-sets")
     sure = materialise(verified(forest, sets, similarity), "near-links")
     grouped = near.select("node").join(components(sure).withColumnRenamed("node", "__of"), F.col("node") == F.col("__of"), "left")
     grouped = materialise(grouped.select("node", F.coalesce("component", "node").alias("component")), "near-groups")
     rest = materialise(candidates(grouped, radius, similarity, bands, shard_rows), "near-rest")
     more = materialise(verified(rest, sets, similarity), "near-links")
-    groups = components(sure.union(more))
-    named = distinct.join(groups.withColumnRenamed("node", "__of"), F.col("node") == F.col("__of"), "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    ids = lookup(named, ["component"], ["node"], named.groupBy("component").agg(F.min("least").alias("component_id"))).select("node", "component_id")
-    return lookup(made, ["node"], ["doc_id"], ids).select("doc_id", "node", "component_id")
+    groups = components(sure.union(more)) if not more.isEmpty() else grouped
+    named = distinct.join(groups.withColumnRenamed("node", "__of"), F.col("node") == F.col("__of"), "left").select("node", "row", F.coalesce("component", "node").alias("component"))
+    best = lookup(named, ["component"], ["node"], named.groupBy("component").agg(F.min("row").alias("best"))).select("node", "best")
+    return lookup(made, ["node"], ["doc_id"], best).select(
+        "doc_id",
+        "text_key",
+        F.col("best.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key"))).alias("kept"),
+    )

@@ -33,8 +33,8 @@ GAP = 5e-4
 STEPS = 10
 
 
-def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Pieces of at most ``length`` ids: doc_id, start, length, ids_crc32, doc_tokens, ids.
+def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
+    """Pieces of at most ``length`` ids: doc_id, start, length, ids_crc32, doc_tokens, and ids if asked for.
 
     Each text is encoded whole, ``end_id`` comes after it, and every piece but the last
     has ``length`` ids. Nulls: a null text has the end id alone; a null doc_id is kept.
@@ -56,18 +56,18 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int
             size = np.minimum(length, tokens[doc] - start)
             flat = ids.astype("<u4")
             crc = [zlib.crc32(flat[a : a + n]) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": rows.column("doc_id").take(pa.array(doc)),
-                    "start": pa.array(start),
-                    "length": pa.array(size),
-                    "ids_crc32": pa.array(crc, pa.int64()),
-                    "doc_tokens": pa.array(tokens[doc]),
-                    "ids": lists(ids, np.append(0, np.cumsum(size)), pa.int32()),
-                }
-            )
+            out = {
+                "doc_id": rows.column("doc_id").take(pa.array(doc)),
+                "start": pa.array(start),
+                "length": pa.array(size),
+                "ids_crc32": pa.array(crc, pa.int64()),
+                "doc_tokens": pa.array(tokens[doc]),
+            }
+            if with_ids:
+                out["ids"] = lists(ids, np.append(0, np.cumsum(size)), pa.int32())
+            yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
 
 
 def _best_pattern(dual: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -173,19 +173,21 @@ def whole_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
     return patterns[uses > 0], uses[uses > 0]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, granule: int = GRANULE, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Pack all documents: one row per piece with doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, granule: int = GRANULE, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = False) -> DataFrame:
+    """Pack all documents: one row per piece with doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if asked for.
 
     ``chunk_bytes`` of text are tokenized at once; less takes less memory and more time.
 
     Every id lies in one piece; pieces of a sequence lie end to end from offset 0.
     Nulls: see cut_documents. Ties: rests of a length class are ranked by doc_id, and
     rows that tie in everything are alike. Repeated rows are each packed. An empty
-    table gives an empty result. Extra columns are not read.
+    table gives an empty result. Extra columns are not read. All sequences are counted
+    as ``length`` long; those that end at a power of two are not sought.
     """
     if length % granule:
         raise ValueError("length must be a multiple of granule")
-    pieces = materialise(cut_documents(docs, tokenizer_path, end_id, length, cut, chunk_bytes), "pieces")
+    pieces = cut_documents(docs, tokenizer_path, end_id, length, cut, chunk_bytes, with_ids)
+    pieces = materialise(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     capacity = length // granule
     size = F.when(F.col("length") == length, F.lit(capacity + 1)).otherwise(F.ceil(F.col("length") / granule)).cast("int")
     # at most capacity + 1 rows
@@ -202,8 +204,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH
         taken = uses[users] * patterns[users, k]
         places.append((np.cumsum(taken) - taken, patterns[users, k], base[users], patterns[users, :k].sum(1)))
 
-    keys = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    placed = with_global_index(pieces.withColumn("size", size).select("size", *keys), ["size", "doc_id", "start", "ids_crc32", "length", "doc_tokens"], "at")
+    keys = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece"]
+    placed = with_global_index(pieces.withColumn("size", size).select("size", *keys), ["size", "doc_id", "start", "ids_crc32", "length", "doc_tokens", "piece"], "at")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,16 +222,23 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH
                 slot[rows] = slots[j] + inside % copies[j]
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in keys} | {"sequence_id": pa.array(sequence), "slot": pa.array(slot)})
 
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, slot long"
+    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, piece long, sequence_id long, slot long"
     assigned = placed.mapInArrow(assign, schema)
     # at most ``length`` pieces in a sequence
     earlier = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     full = assigned.filter(F.col("length") == length).withColumn("offset", F.lit(0).cast("long"))
     shared = assigned.filter(F.col("length") < length).withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
-    return full.unionByName(shared).select(*keys, "sequence_id", "offset")
+    out = full.unionByName(shared).select(*keys, "sequence_id", "offset")
+    if with_ids:
+        out = out.join(pieces.select("piece", "ids"), "piece")
+    return out.drop("piece")
 
 
-def sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
-    """sequence_id and ids of every sequence, from cut_documents and pack."""
-    joined = packed.join(pieces.select("doc_id", "start", "ids_crc32", "ids").dropDuplicates(["doc_id", "start", "ids_crc32"]), ["doc_id", "start", "ids_crc32"])
-    return joined.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id and ids of every sequence, from the rows of pack with their ids.
+
+    A sequence has at most ``length`` ids, so its pieces fit in a row; pieces whose ids are
+    null add none. An empty table gives an empty result.
+    """
+    pieces = F.array_sort(F.collect_list(F.struct("offset", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))))
+    return packed.groupBy("sequence_id").agg(F.flatten(F.transform(pieces, lambda x: x["ids"])).alias("ids"))

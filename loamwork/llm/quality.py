@@ -13,9 +13,12 @@ for all others.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamwork.llm.keeping import Carried
 from loamwork.session import materialise
 
 # Common function words of each language.
@@ -95,8 +98,8 @@ def _js_distance(p: Column, q: Column) -> Column:
     return F.when((total(p) <= 0) | (total(q) <= 0), F.lit(0.0)).otherwise(F.sqrt(F.greatest(F.lit(0.0), total(terms))))
 
 
-def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Counts and histograms of every row: doc_id, the columns ``keep``, and
+def measured(docs: DataFrame, carried: Carried) -> DataFrame:
+    """Counts and histograms of every row: doc_id, the columns that are carried along, and
 
     ref (language of the reference), n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, classes and common (arrays of counts).
@@ -104,7 +107,8 @@ def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     split = docs.select(
         "doc_id",
-        *keep,
+        *(["text"] * ("text" in carried.columns)),
+        *carried.folded,
         F.when(F.col("lang").isin(sorted(COMMON_WORDS)), F.col("lang")).otherwise(F.lit(OTHER)).alias("ref"),
         text.alias("__text"),
         F.array_remove(F.split(text, _SPACE), "").alias("__words"),
@@ -122,7 +126,7 @@ def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         lists = F.when(F.col("ref") == lang, F.array(*map(F.lit, words))).otherwise(lists)
     counts = split.select(
         "doc_id",
-        *keep,
+        *carried.columns,
         "ref",
         F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
@@ -145,7 +149,7 @@ def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     named = F.aggregate("__common", F.lit(0.0), lambda a, v: a + v)
     return counts.select(
         "doc_id",
-        *keep,
+        *carried.columns,
         "ref",
         "n_words",
         "word_chars",
@@ -173,10 +177,10 @@ def references(counts: DataFrame) -> DataFrame:
     return counts.groupBy("ref").agg(summed("classes", 5).alias("ref_classes"), summed("common", n_common).alias("ref_common"))
 
 
-def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def quality_rules(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Measure and judge every row of ``docs`` (columns doc_id, text, lang).
 
-    Returns doc_id, the columns ``keep``, n_words, word_chars, n_symbols, n_dup_lines,
+    Returns doc_id, row (a struct of the columns ``keep``, if any), n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, class_distance, word_distance, kept. kept is false if
     base_failed, or class_distance is over MAX_CLASS_DISTANCE in a text of at least
     MIN_CHARS_FOR_CLASSES characters, or word_distance is over MAX_WORD_DISTANCE in a
@@ -185,9 +189,11 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Nulls: a null text is empty (and fails, having under MIN_WORDS words); a null or
     unknown lang is compared with the documents of all such languages together, by
     character classes only. Repeated rows are each judged. An empty table gives an
-    empty result. Extra columns are not read, but for ``keep``.
+    empty result. Extra columns are not read, but for ``keep``; whatever their names, they
+    do not clash.
     """
-    counts = materialise(measured(docs, keep), "quality-counts")
+    carried = Carried(keep)
+    counts = materialise(measured(docs, carried), "quality-counts")
     judged = counts.join(F.broadcast(references(counts)), "ref").select(
         *counts.columns,
         F.col("ref_classes"),
@@ -196,7 +202,7 @@ def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     n_chars = F.aggregate("classes", F.lit(0.0), lambda a, v: a + v)
     judged = judged.select(
         "doc_id",
-        *keep,
+        *carried.row(),
         "n_words",
         "word_chars",
         "n_symbols",

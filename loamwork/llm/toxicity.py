@@ -2,7 +2,7 @@
 
 A token is read as a lattice: digits and symbols may stand for letters (leetspeak),
 repeated letters for one or two, and spaces or marks between single letters for
-nothing. Viterbi decoding finds the path of least cost under the channel and a
+nothing. A word that is parted into pieces of two or more letters is not joined. Viterbi decoding finds the path of least cost under the channel and a
 four-character language model. A token with nothing to restore has a lattice of one
 path. Decoded tokens are remembered, so each distinct token costs one decoding.
 
@@ -16,14 +16,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loamwork.llm.keeping import Carried
 from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, hold, settle, words_of
 from loamwork.session import materialise
 
@@ -53,19 +55,21 @@ SYMBOLS = 28
 _KIND = np.zeros(256, np.int64)
 _KIND[97:123] = np.arange(1, 27)
 _KIND[128:] = 27
-_EDGES = b".,;:?\"'`)]}>([{<*_-~#%&|=/\\^\xc2\xbf\xa1\xab\xbb"
+_EDGES = ".,;:?\"'`)]}>([{<*_-~#%&|=/\\^¿¡«»"
 #: Tokens that may hide something: a digit or symbol next to letters, marks inside
-#: letters, a letter three times. Other tokens are letters with marks around them.
-_HIDDEN = r"[a-z][0-9@$!+(]|[0-9@$!+(][a-z]|[a-z][.\-_*~'|/,]+[a-z]|€|" + "|".join(chr(c) * 3 for c in range(97, 123))
+#: letters, a letter twice. Other tokens are letters with marks around them, whose
+#: lattice has one path.
+_HIDDEN = r"[a-z][0-9@$!+(]|[0-9@$!+(][a-z]|[a-z][.\-_*~'|/,]+[a-z]|€|" + "|".join(chr(c) * 2 for c in range(97, 123))
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SINGLE = re.compile(r"[a-z0-9@$!+]")
 
 #: A word may join a lexicon if it stands in at least MIN_DOCS labelled toxic documents
 #: and in one of SHARES of them, and MIN_PRECISION of the labelled documents with it are
 #: toxic. Which share is used is decided on training rows, each held against a lexicon
-#: learned from the other half of them.
-MIN_DOCS, MIN_PRECISION, MAX_WORDS = 4, 0.8, 4096
-SHARES = (0.005, 0.01, 0.015, 0.02, 0.03, 0.05)
+#: learned from the other half of them. A lexicon has 1 / SHARES[0] times as many words
+#: as a labelled toxic document on average, at most, whatever the input.
+MIN_DOCS, MIN_PRECISION = 4, 0.8
+SHARES = (1 / 256, 1 / 128, 1 / 64, 1 / 32, 1 / 16)
 HALVES = 2
 
 
@@ -158,7 +162,7 @@ class Decoder:
         if found is None:
             text = token.decode("utf-8", "replace")
             if hidden:
-                text = self.restore(text.strip(_EDGES.decode("latin-1")))
+                text = self.restore(text.strip(_EDGES))
             found = tuple(_LETTERS.findall(text))
             if hidden:
                 if len(self.known) > 100_000:  # bounds memory, changes no result
@@ -267,8 +271,8 @@ def learn_lexicons(labelled: DataFrame, costs) -> list[dict[str, tuple[float, in
     table = materialise(word_table(labelled, costs).filter(passes[0] | passes[1] | passes[2]), "toxic-words")
     out = []
     for c, t, ok, m, (n_clean, n_toxic) in zip(clean, toxic, passes, least, size, strict=True):
-        # MAX_WORDS bounds a lexicon
-        kept = table.filter(ok).select("word", c.alias("c"), t.alias("t")).orderBy(F.desc("t"), "word").limit(MAX_WORDS).collect()
+        # bounded by the shares
+        kept = table.filter(ok).select("word", c.alias("c"), t.alias("t")).orderBy(F.desc("t"), "word").collect()
         odds = lambda r: math.log((r["t"] + 0.5) / (n_toxic + 1)) - math.log((r["c"] + 0.5) / (n_clean + 1))  # noqa: E731, B023
         out.append({r["word"]: (odds(r), sum(r["t"] >= x for x in m)) for r in kept})
     return out
@@ -313,8 +317,8 @@ def lexicon_sums(docs: DataFrame, costs, lexicons: list[dict[str, tuple[float, i
             )
         _done()
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*dict.fromkeys([*columns, "text", "__half"])).mapInArrow(run, f"{fields}, evidence array<double>, apart array<double>, found array<struct<word:string,level:int>>")
+    sums = T._parse_datatype_string("evidence array<double>, apart array<double>, found array<struct<word:string,level:int>>")
+    return docs.select(*dict.fromkeys([*columns, "text", "__half"])).mapInArrow(run, T.StructType([*(docs.schema[c] for c in columns), *sums.fields]))
 
 
 def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
@@ -344,8 +348,8 @@ def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[f
     return loss(a, b), float(a), float(b)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Score every whole text: doc_id, the columns ``keep``, held_out, score (0 to 1), predicted, found.
+def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Score every whole text: doc_id, row (a struct of the columns ``keep``, if any), held_out, score (0 to 1), predicted, found.
 
     ``labels`` (doc_id, toxic) are learned from where ``held_out``, an expression on
     ``docs``, is false; the scores depend on the texts alone. Nulls: a null text is
@@ -353,7 +357,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[s
     never labelled; null labels are left out. Without toxic labels all scores are 0.
     Repeated rows are each scored, and each learned from; of repeated labels of a
     doc_id the largest counts. An empty table gives an empty result. Extra columns are
-    not read, but for ``keep``.
+    not read, but for ``keep``; whatever their names, they do not clash.
 
     The lexicon's share and the logistic function are fitted on training rows whose
     evidence comes from the other half of them; halves are by the text's hash, so copies
@@ -361,12 +365,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[s
     """
     spark = docs.sparkSession
     half = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(HALVES)).cast("int")
-    rows = docs.select("*", F.coalesce(held_out, F.lit(True)).alias("__held"), half.alias("__half"))
+    carried = Carried(keep)
+    rows = docs.select("doc_id", "text", *carried.folded, F.coalesce(held_out, F.lit(True)).alias("__held"), half.alias("__half"))
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     costs = spark.sparkContext.broadcast(character_model(character_counts(docs)))
     training = rows.filter(~F.col("__held")).select("doc_id", "text", F.col("__half").alias("half")).join(known.hint("merge"), "doc_id")
     lexicons = learn_lexicons(training, costs)
-    columns = [*dict.fromkeys(["doc_id", *keep, "__held"])]
+    columns = ["doc_id", "__held", *carried.columns]
     sums = materialise(lexicon_sums(rows, costs, lexicons, columns), "toxic-evidence")
     # evidence in steps of 1/16: as many rows as the lexicons' sums have values
     bins = (
@@ -385,8 +390,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[s
         score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("evidence")[best])))
     else:
         score = F.lit(0.0)
-    kept = [c for c in columns[1:] if c != "__held"]
     found = F.transform(F.filter("found", lambda x: x["level"] > best), lambda x: x["word"])
-    return sums.select("doc_id", *kept, F.col("__held").alias("held_out"), score.alias("score"), found.alias("found")).select(
-        "doc_id", *kept, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "found"
-    )
+    return sums.select("doc_id", *carried.row(), F.col("__held").alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), found.alias("found"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -11,15 +12,16 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loamwork.llm import queries as Q
-from loamwork.llm.byte_bpe import decode, encode
+from loamwork.llm.byte_bpe import Tokens, decode, decode_span, encode
 from loamwork.llm.exact_dedup import exact_dedup, identities
 from loamwork.llm.licenses import license_scan
 from loamwork.llm.log_bilinear import score_documents
-from loamwork.llm.packing import pack, whole_patterns
+from loamwork.llm.packing import cut_documents, pack, sequences, whole_patterns
 from loamwork.llm.quality import quality_rules
 from loamwork.llm.sharding import interleaved_shards
 from loamwork.llm.simhash import near_links, EXACT, simhash_components
@@ -30,7 +32,8 @@ from loamwork.session import new_path
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LONG = "the cat sat on the mat and it's 'll 12 é " * 700
 TEXTS = [None, "", " \n\t", "a", "the same text here", "the same text here", "the same text here", LONG, LONG, LONG + "x",
-         "All Rights Reserved. cc by cc-by General  Public\nLicense", "Released under the MIT License.", "we'll \n\n go  don't İstanbul ß 日本 🙂",
+         "All Rights Reserved. cc by cc-by General  Public\nLicense",
+         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction", "we'll \n\n go  don't İstanbul ß 日本 🙂",
          *(f"word{k} and some more of the words number {k * k} in line {k}\nend of it" for k in range(40)), "you are an 1d10t and a m o r o n"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, kept string, name string, score string"
 
@@ -107,6 +110,15 @@ def test_byte_bpe(docs, rows, empty):
     got = decode(encode(docs, path), path).collect()
     assert len(got) == len(rows)
     assert all(r.ids == enc.encode_ordinary(texts[r.doc_id]) and bytes(r.bytes).decode() == texts[r.doc_id] for r in got)
+    tokens = Tokens(open(path, "rb").read())
+    for r in got:
+        raw, at = texts[r.doc_id].encode(), 0
+        for token, offset in zip(r.ids, r.offsets, strict=True):
+            assert offset == at
+            at += len(enc.decode_single_token_bytes(token))
+        assert at == len(raw)
+        for a, b in ((0, len(raw)), (3, 9), (len(raw) - 2, len(raw)), (5, 5), (7, len(raw) + 9)):
+            assert decode_span(r.ids, r.offsets, tokens, max(a, 0), b) == raw[max(a, 0) : b]
     assert decode(encode(empty, path), path).count() == 0
 
 
@@ -138,6 +150,13 @@ def test_packing(docs, rows, empty):
             at += r.length
         assert at <= 1024
     assert pack(empty, P.path("byte_bpe_50k.json"), 0).count() == 0
+    with_ids = pack(docs, P.path("byte_bpe_50k.json"), 0, with_ids=True).cache()
+    assert all(list(r.ids) == want[r.doc_id][r.start : r.start + r.length] for r in with_ids.collect())
+    whole = {r.sequence_id: list(r.ids) for r in sequences(with_ids).collect()}
+    assert sum(map(len, whole.values())) == sum(len(want[r[0]]) for r in rows)
+    assert all(whole[r.sequence_id][r.offset : r.offset + r.length] == list(r.ids) for r in with_ids.collect())
+    assert len(whole) <= sum(map(len, whole.values())) / 1024 * 1.02 + 2
+    assert "ids" not in cut_documents(docs, P.path("byte_bpe_50k.json"), 0, with_ids=False).columns
     demand = np.random.default_rng(1).integers(0, 30, 64)
     patterns, uses = whole_patterns(demand)
     assert (patterns.T @ uses == demand).all() and (patterns @ (np.arange(64) + 1) <= 64).all()
@@ -164,6 +183,7 @@ def test_log_bilinear(docs, rows, empty):
         assert (g.n_tokens, g.n_known, g.train_tokens) == (len(w) + 1, sum(x in c for x in w) + 1, n)
         assert abs(g.base_score - base) < 1e-6 * max(1, -base) and g.score < 0
     assert score_documents(empty, Q.remainder(7) == 2).count() == 0
+    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
 def test_simhash(spark, docs, rows, empty):
@@ -189,6 +209,16 @@ def test_simhash(spark, docs, rows, empty):
     assert simhash_components(empty).count() == 0
 
 
+def test_fingerprints_of_texts(docs, rows):
+    got = {(r.doc_id, bytes(r.fp)) for r in simhash_components(docs).collect()}
+    for r in rows:
+        w = WORD.findall(lower(r[1]))
+        shingles = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        bits = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        assert (r[0], bits.to_bytes(8, "big")) in got
+
+
 def test_toxicity(spark, docs, rows, empty):
     insults = ["idiot", "moron", "loser"]
     text = [(k, f"you {insults[k % 3]} of the {k}" if k % 2 else f"the good of all {k} and more", "en") for k in range(200)]
@@ -201,9 +231,81 @@ def test_toxicity(spark, docs, rows, empty):
     assert decoder.words(b"1d10t", True) == ("idiot",) and decoder.restore("m o r o n", True) == "moron"
 
 
-def test_pipeline_stages(spark, docs):
+def test_viterbi_finds_the_cheapest_path(docs):
+    decoder = Decoder(character_model(character_counts(docs)))
+    for token, spaced in (("1d10t", False), ("w0rrd", False), ("th3", False), ("a$$ss", False), ("s.a.m.3", False), ("t h 3", True), ("l1nnnee", False), ("", False)):
+        runs = [(m[1], len(m[0])) for m in re.finditer(r"(?s)(.)\1*", token)]
+        options = [decoder._options(c, n, 0 < k < len(runs) - 1, spaced) for k, (c, n) in enumerate(runs)]
+        paths = []
+        for path in itertools.product(*options):
+            cost, context = 0.0, 0
+            for text, channel in path:
+                more, context = decoder._spell(text, context)
+                cost += channel + more
+            paths.append((cost + decoder.costs[context * 28], "".join(text for text, _ in path)))
+        least = min(paths)[0]
+        assert decoder.restore(token, spaced) in {text for cost, text in paths if cost < least + 1e-9}
+
+
+CLASHING = ["score", "predicted", "evidence", "found", "kept", "n_words", "ref", "row", "__text", "__row", "__id", "held_out", "ids", "piece", "node", "key"]
+
+
+def test_pipeline_stages_keep_rows_and_columns(spark, docs, rows):
     import corpus_pipeline as C
 
-    kept = C.drop_exact_copies(spark, docs.select(C.COLUMNS), "").collect()
-    assert len(kept) == len({r.text or "" for r in kept}) == len({r.text or "" for r in docs.collect()})
-    assert C.drop_near_copies(spark, docs.select(C.COLUMNS).filter("doc_id IN (5, 6, 7, 12)"), "").count() == 3
+    more = docs.select(*C.COLUMNS, *(F.concat(F.lit(f"{c}-"), F.col("text")).alias(c) for c in CLASHING)).cache()
+    held = exact_dedup(docs)
+    texts = Counter((r.doc_id, r.text) for r in more.collect())
+
+    def stage(name, table, sf_dir="/root/testdata/sf0.001"):
+        out = dict(C.STAGES)[name](spark, table, sf_dir)
+        if name != "packing":
+            assert out.columns == table.columns
+            for r in out.collect():
+                assert all(r[c] == (None if r.text is None else f"{c}-{r.text}") for c in CLASHING if c in table.columns)
+        return out
+
+    everything = Counter((r.doc_id, r.text) for r in stage("toxicity", more).collect())
+    assert everything <= texts and everything.total() >= texts.total() - 2
+    judged = {(r.doc_id, r.n_words): r.kept for r in quality_rules(docs).collect()}
+    good = Counter((r.doc_id, r.text) for r in stage("quality_rules", more).collect())
+    assert good == Counter({k: n for k, n in texts.items() if judged[k[0], len(WORD.findall(k[1] or ""))]})
+    kept = [(r.doc_id, r.text or "") for r in stage("exact_dedup", more).collect()]
+    best = {}
+    for d, t in texts:
+        best[t or ""] = max(best.get(t or "", -1), -1 if d is None else d)
+    assert sorted((-1 if d is None else d, t) for d, t in kept) == sorted((d, t) for t, d in best.items())
+    near = [(r.doc_id, r.text) for r in stage("simhash_near_dedup", more).collect()]
+    # no words: 0 to 2; equal texts: 4 to 6 and the row again; 7 to 9: one set but for a word
+    assert sorted(-1 if d is None else d for d, _ in near) == [-1, 0, 3, 4, 7, *range(10, len(TEXTS))]
+    pieces = stage("packing", more).collect()
+    assert {r.doc_id for r in pieces} == {r[0] for r in rows}
+    assert held.count() == len(rows)  # other queries' tables are still there
+    for name, _ in C.STAGES:
+        assert stage(name, more.limit(0)).count() == 0
+
+
+def test_near_copies_are_told_apart_by_text(spark):
+    import corpus_pipeline as C
+
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    table = spark.createDataFrame([(1, a), (2, a + " end"), (2, b), (None, b + " end"), (None, "c d e"), (None, "c d e"), (3, "f"), (3, "f")], "doc_id long, text string")
+    left = dict(C.STAGES)["simhash_near_dedup"](spark, table, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(1, a), (2, b), (0, "c d e"), (3, "f")])
+
+
+def test_pipeline_runs(spark, tmp_path, docs):
+    import corpus_pipeline as C
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows.unionByName(rows.limit(5)).unionByName(docs.select(*C.COLUMNS), allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    packed = C.run(spark, str(tmp_path))
+    whole = {}
+    for r in sorted(packed.collect(), key=lambda r: (r.doc_id, r.start)):
+        assert r.start == len(whole.setdefault(r.doc_id, [])) and len(r.ids) == r.length
+        whole[r.doc_id] += r.ids
+    tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    assert 100 < len(whole) < 200
+    assert all(ids == [*tk.encode(texts[d], add_special_tokens=False).ids, 0] for d, ids in whole.items() if d >= len(TEXTS))
