@@ -2,84 +2,87 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and
 returns a DataFrame; run() writes each stage's rows as Parquet and hands them to the
-next. All stages but the last return the columns of documents. Since a stage's rows are
-written before the next one begins, each stage first deletes the tables that earlier
-stages wrote on their way; rows of a stage are therefore only read through that copy.
+next. All stages but the last return the columns of documents, whatever their names.
+Rows of a stage are written before the next stage begins: a stage first deletes the
+tables that earlier stages of this pipeline wrote on their way (no others).
 
 Nulls, empty texts, ties and repeated rows: as the operators say. A row that repeats
-another in doc_id and text is an exact copy, and one of them stays.
+another in doc_id and text is an exact copy, and one of them stays; rows that share a
+doc_id with different texts, and rows without a doc_id, are told apart by their texts.
+An empty table passes through all stages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamwork.llm.exact_dedup import exact_dedup
+from loamwork.llm.keeping import kept_rows, text_key
 from loamwork.llm.near_dedup import near_components
 from loamwork.llm.packing import pack
 from loamwork.llm.quality import quality_rules
 from loamwork.llm.queries import remainder
 from loamwork.llm.toxicity import toxicity
-from loamwork.session import materialise, release_steps
+from loamwork.session import delete_paths, materialise, steps_into
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
-_ROWS = "pipeline-"
 #: Less than the operator takes alone: here the executors' heaps have grown in earlier stages.
 _CHUNK = 1 << 20
+#: Tables that the stage before wrote on its way.
+_left: list[str] = []
+
+
+def _within(spark: SparkSession, stage: Callable[[], DataFrame]) -> DataFrame:
+    """The stage's rows; tables of the stage before go first."""
+    delete_paths(spark, _left)
+    with steps_into(_left):
+        return stage()
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not predict to be toxic."""
-    release_steps(spark, keep=_ROWS)
+    """Documents that the toxicity model does not predict to be toxic.
+
+    Null and empty texts have no evidence and stay; repeated rows are each judged.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity(docs, labels, remainder(5) == 0, keep=tuple(docs.columns)).filter("predicted = 0").select(*docs.columns)
+    judged = _within(spark, lambda: toxicity(docs, labels, remainder(5) == 0, keep=docs.columns))
+    return judged.filter("predicted = 0").select("row.*")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    release_steps(spark, keep=_ROWS)
-    return quality_rules(docs, keep=tuple(c for c in docs.columns if c != "doc_id")).filter("kept").select(*docs.columns)
+    """Documents that the quality rules keep; null and empty texts are too short and go."""
+    return _within(spark, lambda: quality_rules(docs, keep=docs.columns)).filter("kept").select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest doc_id."""
-    release_steps(spark, keep=_ROWS)
-    marked = materialise(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "exact-copies")
-    rows = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    gone = marked.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    out = _without(rows, gone.filter("NOT kept"))
-    repeated = gone.filter("kept AND n > 1")
-    if not repeated.isEmpty():
-        first = Window.partitionBy("doc_id", "__sha").orderBy(*(c for c in docs.columns if c != "text"))
-        again = _matching(out, repeated, "left_semi").withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-        out = _without(out, repeated).unionByName(again)
-    return out.select(*docs.columns)
+    """Of documents with equal texts (null: empty), the one with the largest doc_id; of rows equal in both, one."""
 
+    def stage() -> DataFrame:
+        marks = exact_dedup(docs).select("doc_id", F.col("text_sha256").alias("key"), "kept")
+        return kept_rows(docs, marks, F.sha2(F.coalesce("text", F.lit("")), 256))
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar shingles, the one with the least doc_id."""
-    release_steps(spark, keep=_ROWS)
-    linked = near_components(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = materialise(linked.filter("doc_id <> component_id").select("doc_id"), "near-copies").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _within(spark, stage)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids in sequences of 1024."""
-    release_steps(spark, keep=_ROWS)
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, length=1024, chunk_bytes=_CHUNK)
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingles, the one with the least doc_id (a null one last); of rows equal in doc_id and text, one."""
 
+    def stage() -> DataFrame:
+        marks = near_components(docs, SHINGLE_WORDS, SIMILARITY).select("doc_id", F.col("text_key").alias("key"), "kept")
+        return kept_rows(docs, marks, text_key(F.col("text")))
 
-def _matching(rows: DataFrame, marked: DataFrame, how: str) -> DataFrame:
-    marks = marked.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
-    return rows.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__of")), how)
+    return _within(spark, stage)
 
 
-def _without(rows: DataFrame, marked: DataFrame) -> DataFrame:
-    return _matching(rows, marked, "left_anti")
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024, with their token ids; a null text has the end id alone."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return _within(spark, lambda: pack(docs, path, end_id=0, length=1024, chunk_bytes=_CHUNK, with_ids=True))
 
 
 STAGES = [
@@ -96,7 +99,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; those of the stages before are deleted once they have been read."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"{_ROWS}{name}")
+        rows, written = stage(spark, docs, sf_dir), []
+        with steps_into(written):
+            docs = materialise(rows, f"pipeline-{name}")
+        delete_paths(spark, before)
+        before = written
+    delete_paths(spark, _left)
     return docs
