@@ -2,28 +2,105 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Replacements of typographic characters.
-REPLACEMENTS = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "…": "...", " ": " ", "•": "-"}
+# Replacements of typographic characters, made in this order after the compatible form.
+REPLACEMENTS = {
+    "\u2019": "'",
+    "\u2018": "'",
+    "\u201c": '"',
+    "\u201d": '"',
+    "\u2032": "'",
+    "\u2033": '"',
+    "\u2013": "-",
+    "\u2014": "--",
+    "\u2015": "--",
+    "\u2212": "-",
+    "\u00a0": " ",
+    "\u2000": " ",
+    "\u2001": " ",
+    "\u2002": " ",
+    "\u2003": " ",
+    "\u2009": " ",
+    "\u2022": "•",
+    "\u25cf": "•",
+    "\u25cb": "o",
+    "\u2023": ">",
+    "\u25aa": "▪",
+    "\u25ab": "▫",
+    "\u00ae": "(R)",
+    "\u00a9": "(C)",
+    "\u2122": "(TM)",
+    "\u00b0": "deg",
+    "\u00b1": "+/-",
+    "\u00d7": "x",
+    "\u00f7": "/",
+}
 
 # Legal suffixes, removed in this order.
-COMPANY_SUFFIXES = [" Limited", " Ltd.", " Ltd", " Pvt."]
+COMPANY_SUFFIXES = [" Ltd.", " Limited", " Pvt Ltd", " Private Limited"]
 
-# Keywords of the disclosure categories.
+# Keywords of the disclosure categories, by hits.
 CATEGORY_WORDS = {
-    "Environmental (E)": ["energy", "water", "waste", "emission", "carbon", "climate", "environment", "green", "renewable", "pollution", "biodiversity"],
-    "Social (S)": ["employee", "safety", "health", "community", "training", "human", "rights", "diversity", "women", "social", "worker", "welfare"],
-    "Governance (G)": ["board", "director", "governance", "committee", "audit", "compliance", "ethics", "policy", "risk", "shareholder", "corruption"],
+    "Environmental (E)": ["energy", "emission", "water", "waste", "climate", "environmental", "renewable", "solar", "biodiversity", "pollution", "carbon"],
+    "Social (S)": ["safety", "health", "employee", "worker", "community", "education", "student", "wage", "human right", "diversity", "talent", "training"],
+    "Governance (G)": ["governance", "risk", "compliance", "assurance", "board", "audit", "regulation", "policy", "stakeholder", "privacy", "cyber"],
+}
+
+# Keywords of the disclosure categories, where the first with a hit counts.
+FIRST_CATEGORY_WORDS = {
+    "Environmental (E)": ["energy", "emission", "water", "waste", "climate", "environmental"],
+    "Social (S)": ["safety", "health", "employee", "worker", "community", "education"],
 }
 
+# Words that common words become when read backwards.
+REVERSED_WORDS = [
+    "eht", "rof", "dna", "si", "fo", "ot", "ni", "no", "ta", "eh", "ti", "latot", "etad", "eman", "srs", "sl", "rni", "sy", "tuo", "sa", "as",
+    "tel", "hcum", "ylluf", "ecnegilletni", "gnissecorp", "tseb", "evah", "siht", "taht", "flesym", "yllanif", "gnidliub", "yllacificeps",
+]
+
+# Phrases that headings of a management discussion hold.
+HEADING_WORDS = [
+    "overview", "business overview", "industry overview", "financial performance", "financial review", "results of operations", "operating results",
+    "segment analysis", "business segments", "revenue", "expenses", "profitability", "cash flow", "liquidity", "capital resources", "working capital",
+    "risk", "risk factors", "risk management", "outlook", "future outlook", "forward looking", "strategy", "business strategy", "growth strategy",
+    "opportunities", "challenges", "critical accounting",
+]
+
+# Phrases that headings of a letter to stakeholders hold.
+LETTER_HEADING_WORDS = [
+    "dear stakeholders", "dear shareholders", "dear investors", "year in review", "highlights", "achievements", "performance", "strategic initiatives",
+    "vision", "mission", "values", "sustainability", "governance", "looking ahead", "future", "thank you", "acknowledgment",
+]
+
+#: White space of any kind, as a class of regular expressions.
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: A word of letters, digits and underscores, and what may follow one.
+WORD = r"[\p{L}\p{N}_]+"
+_AFTER = r"([^\p{L}\p{N}_]|$)"
+
+
+def strip(t: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(t, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def words(t: Column) -> Column:
+    """Runs without white space, as an array; none for blank text."""
+    return F.array_remove(F.split(t, f"{SPACE}+", -1), "")
+
+
+def is_blank(t: Column) -> Column:
+    return ~t.rlike(SPACE.replace("[", "[^", 1))
+
 
 def printable_ratio(t: Column) -> Column:
     """Share of printable ASCII characters; 1 for blank text."""
-    return F.when(F.length(F.trim(t)) == 0, F.lit(1.0)).otherwise(F.length(F.regexp_replace(t, r"[^\x20-\x7E]", "")) / F.length(t))
+    return F.when(is_blank(t), F.lit(1.0)).otherwise(F.length(F.regexp_replace(t, r"[^\x20-\x7E]", "")) / F.length(t))
 
 
 def is_mostly_english(t: Column, threshold: float = 0.7) -> Column:
@@ -51,15 +128,48 @@ def keep_printable(t: Column) -> Column:
     return per_line(t, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"[^\x20-\x7E]", " "), " +", " ")))
 
 
+def merge_broken_lines(t: Column) -> Column:
+    """Lines without white space at their ends; short ones without an end mark take a next line that begins in lower case.
+
+    A line that was taken takes none itself, so lines merge pair by pair: matches of the
+    pattern do not overlap and begin at line starts.
+    """
+    return F.regexp_replace(per_line(t, strip), r"(?md)^([^\n]{0,78}[^\n.!?:;])\n(\p{Ll}[^\n]*)", "$1 $2")
+
+
+def orientation_score(cell: Column) -> Column:
+    """0 to 1 for how much a stripped cell looks reversed: five signals, summed and capped."""
+    found = lambda c: F.regexp_extract_all(c, F.lit(f"({WORD})"), 1)
+    lower = found(F.lower(cell))
+    backwards = F.size(F.filter(lower, lambda w: w.isin(REVERSED_WORDS))) / F.greatest(F.size(lower), F.lit(1))
+    capital_last = F.size(F.filter(found(cell), lambda w: w.rlike("^[a-z]+[A-Z]$")))
+    opens = cell.rlike("^[.,;:]") & ~cell.rlike("[.,!?;:]$") & (F.length(cell) > 3)
+    points = lambda c, n: F.when(c, F.lit(n)).otherwise(F.lit(0.0))
+    total = (
+        points(cell.rlike(f"[a-z][A-Z]{_AFTER}"), 0.8) + 0.5 * backwards + points(backwards >= 0.3, 0.3)
+        + points(opens, 0.4) + points(cell.rlike(f"[a-z]{{3}}[A-Z]{_AFTER}"), 0.4) + 0.3 * F.least(capital_last, F.lit(3))
+    )
+    return F.when(F.length(cell) < 2, F.lit(0.0)).otherwise(F.least(F.lit(1.0), total))
+
+
+def fix_reversed(t: Column, threshold: float = 0.35) -> Column:
+    """Lines, and cells of lines with pipes, are reversed back where they look reversed; blank lines stay."""
+    fixed = lambda c: F.when(orientation_score(c) >= threshold, F.reverse(c)).otherwise(c)
+    cells = lambda x: F.array_join(F.transform(F.split(x, r"\|", -1), lambda c: fixed(strip(c))), " | ")
+    return per_line(t, lambda x: F.when(is_blank(x), x).when(x.contains("|"), cells(x)).otherwise(fixed(strip(x))))
+
+
 def remove_noise(t: Column) -> Column:
-    """Form feeds become line ends; rules of dashes and lines without word characters go, blank lines stay."""
-    t = F.regexp_replace(F.regexp_replace(t, "\f", "\n"), "-{5,}|_{5,}", "")
-    lines = F.filter(F.split(t, "\n", -1), lambda x: (F.trim(x) == "") | x.rlike("[A-Za-z0-9_]"))
-    return F.array_join(lines, "\n")
+    """Form feeds become line ends; invisible characters, rules of dashes and lines without a letter, digit or underscore go, blank lines stay."""
+    for pattern, to in (("\f", "\n"), (r"[\x{200B}-\x{200F}\x{FEFF}]", ""), ("-{5,}", ""), ("_{5,}", "")):
+        t = F.regexp_replace(t, pattern, to)
+    return F.array_join(F.filter(F.split(t, "\n", -1), lambda x: is_blank(x) | x.rlike(r"[\p{L}\p{N}_]")), "\n")
 
 
-def collapse_blank_lines(t: Column) -> Column:
-    return F.regexp_replace(F.replace(t, F.lit("\t"), F.lit("    ")), "\n{4,}", "\n\n")
+def collapse_space(t: Column) -> Column:
+    """Tabs become four spaces, lines with pipes lose white space at their ends, others all but single spaces; four or more line ends become two."""
+    lines = per_line(F.replace(t, F.lit("\t"), F.lit("    ")), lambda x: F.when(x.contains("|"), strip(x)).otherwise(strip(F.regexp_replace(x, f"{SPACE}+", " "))))
+    return F.regexp_replace(lines, "\n{4,}", "\n\n")
 
 
 def replace_typography(t: Column) -> Column:
@@ -68,27 +178,30 @@ def replace_typography(t: Column) -> Column:
 
 def fill_empty_cells(t: Column, placeholder: str = "N/A") -> Column:
     """Empty cells between pipes become the placeholder; lines without pipes stay."""
-    cells = lambda x: F.array_join(F.transform(F.split(x, r"\|", -1), lambda c: F.when(F.trim(c) == "", F.lit(placeholder)).otherwise(F.trim(c))), " | ")
+    cells = lambda x: F.array_join(F.transform(F.split(x, r"\|", -1), lambda c: F.when(is_blank(c), F.lit(placeholder)).otherwise(strip(c))), " | ")
     return per_line(t, lambda x: F.when(x.contains("|"), cells(x)).otherwise(x))
 
 
 def clean_text(t: Column) -> Column:
-    """All repairs in their fixed order."""
-    for step in (keep_printable, fix_mashed_words, remove_noise, collapse_blank_lines, replace_typography, fix_split_words, fill_empty_cells):
-        t = step(t)
-    return t
+    """All repairs in their fixed order.
+
+    The first leaves printable ASCII and line ends alone, which the compatible form does
+    not change, so that step needs no function of its own here.
+    """
+    steps = (keep_printable, fix_mashed_words, merge_broken_lines, fix_reversed, remove_noise, collapse_space, replace_typography, fix_split_words, fill_empty_cells)
+    return reduce(lambda c, step: step(c), steps, t)
 
 
 def clean_company_name(t: Column) -> Column:
-    for suffix in COMPANY_SUFFIXES:
-        t = F.trim(F.regexp_replace(t, suffix.replace(".", r"\.") + "$", ""))
-    return t
+    """Without legal suffixes, each taken off once in their order; null is empty."""
+    return reduce(lambda c, suffix: strip(F.regexp_replace(c, suffix.replace(".", r"\.") + "$", "")), COMPANY_SUFFIXES, strip(F.coalesce(t, F.lit(""))))
 
 
 def safe_file_name(t: Column) -> Column:
-    """Letters, digits, dots and hyphens stay; separators become one underscore, at the ends none."""
-    t = F.regexp_replace(F.regexp_replace(t, r'[<>:"\\|?*]', ""), r"[\s/]+", "_")
-    return F.regexp_replace(F.regexp_replace(t, "_+", "_"), r"^[_.]+|[_.]+$", "")
+    """Separators become underscores, other marks that file systems refuse go, spaces become one underscore; 'Unknown' for none."""
+    c = F.regexp_replace(F.regexp_replace(t, r"[/\\:]", "_"), r'[*?"<>|]', "")
+    c = F.replace(F.regexp_replace(F.regexp_replace(strip(c), r"^\.+|\.+$", ""), f"{SPACE}+", " "), F.lit(" "), F.lit("_"))
+    return F.when(F.coalesce(t, F.lit("")) == "", F.lit("Unknown")).otherwise(c)
 
 
 def category_by_hits(keywords: Column) -> Column:
@@ -103,17 +216,32 @@ def category_by_hits(keywords: Column) -> Column:
 def category_by_order(keywords: Column) -> Column:
     """The first category with a hit, else the last."""
     t = F.lower(keywords)
-    (first, e), (second, s), (third, _) = CATEGORY_WORDS.items()
-    return F.when(t.rlike("|".join(e)), F.lit(first)).when(t.rlike("|".join(s)), F.lit(second)).otherwise(F.lit(third))
-
-
-def heading_confidence(line: Column, before: Column, after: Column) -> Column:
-    """Hundredths for how much a line looks like a heading, from its form and its neighbours."""
-    words = F.size(F.split(F.trim(line), r"\s+"))
-    titled = F.size(F.filter(F.split(F.trim(line), r"\s+"), lambda w: w.rlike("^[A-Z]"))) * 10 >= words * 7
-    upper = line.rlike("[A-Z]") & ~line.rlike("[a-z]")
-    points = [(upper, 40), (~upper & titled, 30), (F.length(after) > 2 * F.length(line), 20), (line.rlike(r":\s*$"), 15), (line.rlike(r"^\s*[0-9]+(\.[0-9]+)*[.)]?\s"), 25), (F.coalesce(before, F.lit("")) == "", 15)]
-    return reduce(lambda a, b: a + b, (F.when(c, F.lit(n)).otherwise(F.lit(0)) for c, n in points))
+    (first, e), (second, s) = FIRST_CATEGORY_WORDS.items()
+    return F.when(t.rlike("|".join(e)), F.lit(first)).when(t.rlike("|".join(s)), F.lit(second)).otherwise(F.lit([*CATEGORY_WORDS][-1]))
+
+
+def contains_any(t: Column, phrases: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a | b, (t.contains(p) for p in phrases))
+
+
+def heading(line: Column, before: Column, after: Column, phrases: Iterable[str] = HEADING_WORDS) -> Column:
+    """(confidence in hundredths, level) of a line from its form and its neighbours; 0 for short lines and page numbers.
+
+    A line is a heading from 50 on; only then its level says something. A line before it
+    that has nothing but white space counts as a gap, one that has nothing does not.
+    """
+    line = strip(line)
+    n, upper = F.size(words(line)), line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
+    titled = F.size(F.filter(words(line), lambda w: w.rlike(r"^\p{Lu}")))
+    gap = (before != "") & is_blank(before) & (after != "") & (n <= 10)
+    points = [
+        (upper & (n >= 2), 40), ((titled >= n * F.lit(0.7)) & (n >= 2), 30), (contains_any(F.lower(line), phrases), 25), ((n <= 8) & (F.size(words(after)) > 15), 20),
+        (line.rlike(":$"), 15), (line.rlike(r"^[A-Z0-9]+[.)]" + SPACE + "+[A-Z]"), 25), (gap, 15),
+    ]
+    total = reduce(lambda a, b: a + b, (F.when(c, F.lit(k)).otherwise(F.lit(0)) for c, k in points))
+    none = (F.length(line) < 3) | line.rlike(r"^(\p{Nd}+$|(?i:page) \p{Nd}+)")
+    level = F.when(upper & (n <= 4), 1).when(n <= 6, 2).otherwise(3)
+    return F.struct(F.when(none, 0).otherwise(total).alias("confidence"), level.alias("level"))
 
 
 def file_size(n: Column) -> Column:

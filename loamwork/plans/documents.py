@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.plans import sql as S
 from loamwork.plans.registry import register
 
 
@@ -38,103 +39,56 @@ def topic_keywords(spark, sf_dir):
 
 @register(
     "page_statistics",
-    """
-    WITH p AS (SELECT conv_id AS doc_id, length(text) AS raw, length(trim(text)) AS n FROM conversations)
+    f"""
+    WITH p AS (SELECT conv_id AS doc_id, turn, length(text) AS raw, length({S.strip('text')}) AS n FROM conversations)
     SELECT doc_id, count(*) AS pages, count(*) FILTER (n = 0) AS empty_pages, count(*) FILTER (n BETWEEN 1 AND 100) AS low_pages,
            count(*) FILTER (n BETWEEN 101 AND 1000) AS medium_pages, count(*) FILTER (n > 1000) AS high_pages,
            round(100.0 * count(*) FILTER (n > 50) / count(*), 4) AS coverage, sum(n)::BIGINT AS chars, round(avg(raw), 4) AS mean_raw,
            min(n) AS least, max(n) AS most, median(CASE WHEN n > 0 THEN n END)::DOUBLE AS middle,
-           round(coalesce(stddev_samp(CASE WHEN n > 0 THEN n END), 0), 2) AS deviation
+           round(coalesce(stddev_samp(CASE WHEN n > 0 THEN n END), 0), 2) AS deviation,
+           coalesce(string_agg(turn::VARCHAR, ',' ORDER BY turn) FILTER (n BETWEEN 1 AND 100), '') AS low_page_numbers
     FROM p GROUP BY doc_id
     """,
 )
 def page_statistics(spark, sf_dir):
     """Extraction statistics of each report's pages in one aggregation."""
-    n = F.length(F.trim("text"))
-    p = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.length("text").alias("raw"), n.cast("long").alias("n"))
+    n = F.length(T.strip(F.col("text")))
+    p = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", F.length("text").alias("raw"), n.cast("long").alias("n"))
     filled = F.when(F.col("n") > 0, F.col("n"))
     return p.groupBy("doc_id").agg(
         F.count("*").alias("pages"), F.count_if(F.col("n") == 0).alias("empty_pages"), F.count_if(F.col("n").between(1, 100)).alias("low_pages"),
         F.count_if(F.col("n").between(101, 1000)).alias("medium_pages"), F.count_if(F.col("n") > 1000).alias("high_pages"),
         F.round(F.count_if(F.col("n") > 50) * 100.0 / F.count("*"), 4).alias("coverage"), F.sum("n").alias("chars"), F.round(F.avg("raw"), 4).alias("mean_raw"),
         F.min("n").alias("least"), F.max("n").alias("most"), F.median(filled).alias("middle"), F.round(F.coalesce(F.stddev_samp(filled), F.lit(0.0)), 2).alias("deviation"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("n").between(1, 100), F.col("turn")))), ",").alias("low_page_numbers"),
     )
 
 
-@register("report_text", "SELECT conv_id AS doc_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id")
+@register(
+    "report_text",
+    """
+    SELECT conv_id AS doc_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS text_md5,
+           md5(string_agg(chr(10) || '--- Page ' || turn || ' ---' || chr(10) || text, chr(10) ORDER BY turn)) AS marked_md5 FROM conversations GROUP BY conv_id
+    """,
+)
 def report_text(spark, sf_dir):
-    """The text of each report: its pages in order, with blank lines between."""
+    """The text of each report: its pages in order with blank lines between, and with a mark before each page. A report is one row in the end."""
     pages = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("pages"))
-    return pages.select("doc_id", F.md5(F.array_join(F.transform("pages", lambda p: p["text"]), "\n\n")).alias("text_md5"))
+    marked = F.transform("pages", lambda p: F.concat(F.lit("\n--- Page "), p["turn"].cast("string"), F.lit(" ---\n"), p["text"]))
+    return pages.select("doc_id", F.md5(F.array_join(F.transform("pages", lambda p: p["text"]), "\n\n")).alias("text_md5"), F.md5(F.array_join(marked, "\n")).alias("marked_md5"))
 
 
-@register(
-    "english_documents",
-    r"""
-    SELECT doc_id, round(CASE WHEN length(trim(text)) = 0 THEN 1.0
-           ELSE length(regexp_replace(text, '[^\x20-\x7E]', '', 'g')) / length(text) END, 6) AS ratio FROM documents
-    WHERE CASE WHEN length(trim(text)) = 0 THEN 1.0 ELSE length(regexp_replace(text, '[^\x20-\x7E]', '', 'g')) / length(text) END >= 0.7
-    """,
-)
+@register("english_documents", f"SELECT doc_id, round(ratio, 6) AS ratio FROM (SELECT doc_id, {S.printable_ratio('text')} AS ratio FROM documents) WHERE ratio >= 0.7::DOUBLE")
 def english_documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter(T.is_mostly_english(F.col("text"))).select("doc_id", F.round(T.printable_ratio(F.col("text")), 6).alias("ratio"))
 
 
-@register(
-    "repaired_text",
-    r"""
-    SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([a-z])([A-Z])', '\1 \2', 'g'),
-           '([A-Za-z])([0-9])', '\1 \2', 'g'), '([0-9])([A-Za-z])', '\1 \2', 'g'), '([A-Za-z]{2,})-\s*\n\s*([A-Za-z]{2,})', '\1\2', 'g')) AS text_md5
-    FROM documents
-    """,
-)
+@register("repaired_text", f"SELECT doc_id, md5({S.fix_split_words(S.fix_mashed_words('text'))}) AS text_md5 FROM documents")
 def repaired_text(spark, sf_dir):
     """Mashed and split words of whole texts repaired."""
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.fix_split_words(T.fix_mashed_words(F.col("text")))).alias("text_md5"))
 
 
-@register(
-    "text_coherence",
-    r"""
-    WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '') AS w,
-                      list_filter(regexp_split_to_array(text, '[.!?]+'), lambda x: trim(x) <> '') AS s FROM documents)
-    SELECT doc_id, len(w) AS n_words, len(s) AS n_sentences, len(list_filter(w, lambda x: length(x) = 1)) AS single_letters,
-           len(list_filter(w, lambda x: NOT regexp_matches(lower(x), '[aeiou]'))) AS without_vowel FROM t
-    """,
-)
-def text_coherence(spark, sf_dir):
-    """Counts behind the extraction-quality predicates."""
-    words = F.filter(F.split(F.trim("text"), r"\s+"), lambda x: x != "")
-    sentences = F.filter(F.split("text", "[.!?]+", -1), lambda x: F.trim(x) != "")
-    rows = table(spark, sf_dir, "documents").select("doc_id", words.alias("w"), sentences.alias("s"))
-    return rows.select(
-        "doc_id", F.size("w").cast("long").alias("n_words"), F.size("s").cast("long").alias("n_sentences"),
-        F.size(F.filter("w", lambda x: F.length(x) == 1)).cast("long").alias("single_letters"),
-        F.size(F.filter("w", lambda x: ~F.lower(x).rlike("[aeiou]"))).cast("long").alias("without_vowel"),
-    )
-
-
-@register(
-    "heading_lines",
-    r"""
-    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
-    c AS (SELECT *, lag(line) OVER w AS before, lead(line) OVER w AS after FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i))
-    SELECT doc_id, i AS line_index,
-      (CASE WHEN regexp_matches(line, '[A-Z]') AND NOT regexp_matches(line, '[a-z]') THEN 40
-            WHEN len(list_filter(regexp_split_to_array(trim(line), '\s+'), lambda x: regexp_matches(x, '^[A-Z]'))) * 10 >= len(regexp_split_to_array(trim(line), '\s+')) * 7 THEN 30 ELSE 0 END
-       + CASE WHEN length(after) > 2 * length(line) THEN 20 ELSE 0 END + CASE WHEN regexp_matches(line, ':\s*$') THEN 15 ELSE 0 END
-       + CASE WHEN regexp_matches(line, '^\s*[0-9]+(\.[0-9]+)*[.)]?\s') THEN 25 ELSE 0 END + CASE WHEN coalesce(before, '') = '' THEN 15 ELSE 0 END)::BIGINT AS confidence
-    FROM c WHERE trim(line) <> ''
-    """,
-)
-def heading_lines(spark, sf_dir):
-    """How much each line looks like a heading, with the lines around it."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_index", "line"))
-    order = Window.partitionBy("doc_id").orderBy("line_index")
-    near = lines.withColumns({"before": F.lag("line").over(order), "after": F.lead("line").over(order)})
-    return near.filter(F.trim("line") != "").select("doc_id", F.col("line_index").cast("long").alias("line_index"), T.heading_confidence(F.col("line"), F.col("before"), F.col("after")).cast("long").alias("confidence"))
-
-
 @register(
     "heading_parents",
     """
@@ -184,23 +138,6 @@ def document_frequency(spark, sf_dir):
     return df.crossJoin(F.broadcast(docs.agg(F.count("*").alias("n")))).filter("df >= 2 AND df <= 0.95 * n").select("word", "df")
 
 
-@register(
-    "quality_histogram",
-    """
-    WITH q AS (SELECT greatest(0, 100 - CASE WHEN l.quality = 0 THEN 20 ELSE 0 END - CASE WHEN d.n_chars < 500 THEN 15 ELSE 0 END - CASE WHEN l.toxic = 1 THEN 10 ELSE 0 END) AS score
-               FROM documents d JOIN labels l USING (doc_id))
-    SELECT CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 75 THEN 'good' WHEN score >= 60 THEN 'fair' ELSE 'poor' END AS rating, count(*) AS n, round(avg(score), 4) AS mean FROM q GROUP BY 1
-    """,
-)
-def quality_histogram(spark, sf_dir):
-    """Quality scores by deductions, rated and counted."""
-    q = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    less = lambda c, n: F.when(c, F.lit(n)).otherwise(F.lit(0))
-    score = F.greatest(F.lit(0), F.lit(100) - less(F.col("quality") == 0, 20) - less(F.col("n_chars") < 500, 15) - less(F.col("toxic") == 1, 10))
-    rating = F.when(F.col("score") >= 90, "excellent").when(F.col("score") >= 75, "good").when(F.col("score") >= 60, "fair").otherwise("poor")
-    return q.select(score.alias("score")).groupBy(rating.alias("rating")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("mean"))
-
-
 @register(
     "page_domains",
     r"SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1), '^www\.', '') AS domain, regexp_matches(lower(url), '\.pdf([?#]|$)') AS is_pdf FROM pages",

