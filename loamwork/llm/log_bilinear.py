@@ -38,16 +38,16 @@ from loamwork.llm.texts import LOWER, NOT_SPACE, chunks, per_text, settle, words
 from loamwork.session import materialise
 
 COMMON = 50_000
-POSITIONS, DIMENSIONS, NOISE, BATCH, RATE, ROUNDS, SEED = 3, 32, 64, 1024, 0.1, 1, 7
+POSITIONS, DIMENSIONS, NOISE, BATCH, RATE, ROUNDS, SEED = 3, 32, 32, 1024, 0.1, 1, 7
 #: Contexts whose scores of all tokens are held at once.
-_BLOCK = 512
+_BLOCK = 256
 _CHUNK = 4 << 20
 
 
 def class_sizes(n_distinct: int) -> tuple[int, int]:
     """(words with vectors of their own, classes of the other words) for a number of distinct words."""
     root = max(0, n_distinct) ** (1 / 3)
-    return 128 + int(2 * root), 32 + int(root / 2)
+    return 128 + int(1.5 * root), 32 + int(root / 3)
 
 
 def tail_class(data: np.ndarray, cut: np.ndarray, tail: int) -> np.ndarray:
@@ -122,14 +122,19 @@ class Model:
 
     def log10_normalisers(self, predicted: np.ndarray) -> np.ndarray:
         """log10 of the sums of the exponentials of all classes' scores, for rows of predicted vectors."""
-        out = np.empty(len(predicted))
+        weights = np.ascontiguousarray(np.vstack([self.target.T, self.bias[None]]))
+        longest = float(np.sqrt((self.target**2).sum(1)).max())
+        out, scores, ones = np.empty(len(predicted)), np.empty((_BLOCK, len(self.bias)), np.float32), np.ones(len(self.bias), np.float32)
         for at in range(0, len(predicted), _BLOCK):
-            scores = predicted[at : at + _BLOCK] @ self.target.T
-            scores += self.bias
-            top = scores.max(1, keepdims=True)
-            scores -= top
-            np.exp(scores, out=scores)
-            out[at : at + _BLOCK] = np.log(scores.sum(1, dtype=np.float64)) + top[:, 0]
+            rows = predicted[at : at + _BLOCK]
+            part = np.dot(np.hstack([rows, np.ones((len(rows), 1), np.float32)]), weights, out=scores[: len(rows)])
+            top = np.zeros(len(rows), np.float32)
+            # no score can be so large that its exponential has no place, but for such rows
+            if float(np.sqrt((rows**2).sum(1)).max()) * longest + float(abs(self.bias).max()) > 80:
+                top = part.max(1)
+                part -= top[:, None]
+            np.exp(part, out=part)
+            out[at : at + _BLOCK] = np.log(part @ ones) + top
         return out / np.log(10)
 
     def log10_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
