@@ -84,6 +84,11 @@ WORD = r"[\p{L}\p{N}_]+"
 _AFTER = r"([^\p{L}\p{N}_]|$)"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(t: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(t, f"^{SPACE}+|{SPACE}+$", "")
