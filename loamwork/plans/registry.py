@@ -30,7 +30,7 @@ def sql_of(name: str) -> str:
 
 
 def _load() -> None:
-    from loamwork.plans import acquisition, companies, documents, layout, lines, matching, sections, topic_models, topics  # noqa: F401  (they register themselves)
+    from loamwork.plans import acquisition, assessment, companies, documents, filings, layout, lines, matching, sections, topic_models, topics  # noqa: F401  (they register themselves)
     from loamwork.streaming import attempts  # noqa: F401
 
 
