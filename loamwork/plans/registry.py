@@ -30,7 +30,21 @@ def sql_of(name: str) -> str:
 
 
 def _load() -> None:
-    from loamwork.plans import acquisition, assessment, companies, documents, filings, layout, lines, matching, sections, topic_models, topics  # noqa: F401  (they register themselves)
+    from loamwork.plans import (  # noqa: F401  (they register themselves)
+        acquisition,
+        assessment,
+        companies,
+        documents,
+        filings,
+        layout,
+        lines,
+        matching,
+        preprocessing,
+        sections,
+        topic_models,
+        topic_tables,
+        topics,
+    )
     from loamwork.streaming import attempts  # noqa: F401
 
 
