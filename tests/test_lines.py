@@ -1,16 +1,18 @@
 from loamwork.plans import registry
-from loamwork.plans.lines import without_repeated_edges
+from loamwork.plans.lines import repeated_edges, without_edges
 
 DATA = "/root/testdata/sf0.001"
 
 
 def test_repeated_edges_go():
     pages = [f"Annual Report 2024 p{k}\n{'xyz'[k] * 12}\nmore text {'abc'[k] * 9}\n{k}\nPage {k}" for k in range(3)]
-    got = without_repeated_edges(pages)
+    repeated = repeated_edges(pages)
+    got = [without_edges(p, repeated) for p in pages]
     assert all("Annual Report" not in p and "Page" not in p for p in got)
     assert [p.split("\n")[-1] for p in got] == ["more text " + c * 9 for c in "abc"]
-    assert without_repeated_edges([]) == []
-    assert without_repeated_edges(["one line"]) == [""]
+    assert repeated_edges([]) == set()
+    assert without_edges("one line", repeated_edges(["one line"])) == ""
+    assert without_edges("keep\n12\npage 7\n page 12 ", set()) == "keep"
 
 
 def test_queries_without_sql(spark):
