@@ -22,10 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamwork.llm.components import components
 from loamwork.llm.keeping import text_key
 from loamwork.llm.simhash import LONG, SAMPLE, SHARD_ROWS, Bands, Forest, _CHUNK, _LEAF, _Union, fingerprint_of, radius_of, shingle_hashes
 from loamwork.llm.texts import chunks, settle
+from loamwork.operators.components import components
 from loamwork.operators.salted import lookup
 from loamwork.session import materialise
 
