@@ -257,6 +257,24 @@ def file_size(n: Column) -> Column:
     return out
 
 
+def estimated_time(megabytes: Column, kind: Column) -> Column:
+    """How long reading a file may take: half a minute a megabyte for scanned ones, a tenth for others."""
+    minutes = F.when(kind == "scanned", megabytes * 0.5).otherwise(megabytes * 0.1)
+    hours = F.concat(F.lit("~"), F.format_string("%.1f", minutes / 60), F.lit(" hours"))
+    return F.when(minutes < 1, "< 1 minute").when(minutes < 60, F.concat(F.lit("~"), minutes.cast("int").cast("string"), F.lit(" minutes"))).otherwise(hours)
+
+
+def century(t: Column) -> Column:
+    """The first two digits of the first year in a text, else null."""
+    found = F.regexp_extract(t, r"\b(19|20)[0-9]{2}\b", 1)
+    return F.when(found != "", found)
+
+
+def percent(part: Column, whole: Column, digits: int = 2) -> Column:
+    """``part`` of ``whole`` in percent, half to even; 0 of nothing."""
+    return F.coalesce(F.bround(F.try_divide(part * F.lit(100.0), whole), digits), F.lit(0.0))
+
+
 def fiscal_years(t: Column) -> tuple[Column, Column]:
     """Start and end of 'YYYY-YY' or 'YYYY-YYYY'; nulls if it is neither."""
     start, end = F.regexp_extract(t, r"^(\d{4})-(\d{2}|\d{4})$", 1), F.regexp_extract(t, r"^(\d{4})-(\d{2}|\d{4})$", 2)

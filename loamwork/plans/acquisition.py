@@ -59,13 +59,37 @@ def status_by_year(spark, sf_dir):
 
 
 @register(
-    "company_files",
+    "file_estimates",
     r"""
-    SELECT c_custkey AS company, regexp_replace(regexp_replace(regexp_replace(regexp_replace(c_name, '[<>:"\\|?*]', '', 'g'), '[\s/]+', '_', 'g'), '_+', '_', 'g'), '^[_.]+|[_.]+$', '', 'g') AS file_name FROM customer
+    WITH f AS (SELECT o_orderkey AS file, o_totalprice::DOUBLE AS n, o_totalprice::DOUBLE / 100 AS mb, CASE WHEN o_orderkey % 3 = 0 THEN 'scanned' ELSE 'text' END AS kind FROM orders),
+    m AS (SELECT *, CASE WHEN kind = 'scanned' THEN mb * 0.5::DOUBLE ELSE mb * 0.1::DOUBLE END AS minutes FROM f)
+    SELECT file, kind, CASE WHEN minutes < 1 THEN '< 1 minute' WHEN minutes < 60 THEN '~' || floor(minutes)::INT || ' minutes' ELSE '~' || format('{:.1f}', minutes / 60) || ' hours' END AS estimate,
+           CASE WHEN n < 1024 THEN format('{:.2f} B', n) WHEN n < 1048576 THEN format('{:.2f} KB', n / 1024) ELSE format('{:.2f} MB', n / 1048576) END AS size,
+           CASE WHEN file % 4 = 0 THEN '19' WHEN file % 4 = 1 THEN '20' END AS century FROM m
     """,
 )
-def company_files(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company"), T.safe_file_name(F.col("c_name")).alias("file_name"))
+def file_estimates(spark, sf_dir):
+    """Sizes of files, how long they may take, and the century in their names; prices stand in for sizes."""
+    k = F.col("o_orderkey")
+    n, kind = F.col("o_totalprice").cast("double"), F.when(k % 3 == 0, "scanned").otherwise("text")
+    name = F.when(k % 4 == 0, "a 1999 2001").when(k % 4 == 1, "2024-25").otherwise("x12024")
+    return table(spark, sf_dir, "orders").select(k.alias("file"), kind.alias("kind"), T.estimated_time(n / 100, kind).alias("estimate"), T.file_size(n).alias("size"), T.century(name).alias("century"))
+
+
+@register(
+    "attempt_rates",
+    """
+    SELECT user_id, count(*) AS attempts, count(*) FILTER (event_type = 'purchase') AS done, count(DISTINCT event_type) AS kinds, round_even(count(*) FILTER (event_type = 'purchase') * 100.0::DOUBLE / count(*), 2) AS percent,
+           ceil(count(*) / 10)::BIGINT AS batches, greatest(0, least(100, count(*) - 50))::BIGINT AS over_fifty, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS last_at FROM events GROUP BY user_id
+    """,
+)
+def attempt_rates(spark, sf_dir):
+    """Attempts of each key: successes, their share, batches of ten and when the last one was."""
+    n, done = F.count("*"), F.count_if(F.col("event_type") == "purchase")
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(
+        n.alias("attempts"), done.alias("done"), F.countDistinct("event_type").alias("kinds"), T.percent(done, n).alias("percent"), F.ceil(n / 10).alias("batches"),
+        F.greatest(F.lit(0), F.least(F.lit(100), n - 50)).cast("long").alias("over_fifty"), F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("last_at"),
+    )
 
 
 @register(

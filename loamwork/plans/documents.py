@@ -8,12 +8,27 @@ from pyspark.sql import functions as F
 from loamwork.functions import text as T
 from loamwork.plans import sql as S
 from loamwork.plans.registry import register
+from loamwork.session import materialise
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_counts(docs):
+    """(topic, word, n) of all words of three letters or more in texts (topic, text), written once for what is built on them."""
+    words = docs.select("topic", F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")).alias("word"))
+    return materialise(words.groupBy("topic", "word").agg(F.count("*").alias("n")), "topic-words")
+
+
+def class_scores(counts):
+    """(topic, word, n, score): class-based TF-IDF of counted words (topic, word, n)."""
+    total = counts.groupBy("word").agg(F.sum("n").alias("total"))
+    # one row
+    mean = counts.agg((F.sum("n") / F.countDistinct("topic")).alias("mean"))
+    return counts.join(total, "word").crossJoin(F.broadcast(mean)).select("topic", "word", "n", F.round(F.col("n") * F.log(1 + F.col("mean") / F.col("total")), 6).alias("score"))
+
+
 @register(
     "topic_keywords",
     """
@@ -28,13 +43,9 @@ def table(spark, sf_dir, name):
 )
 def topic_keywords(spark, sf_dir):
     """Ten best words of each topic by class-based TF-IDF."""
-    words = table(spark, sf_dir, "documents").select(F.col("source").alias("topic"), F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")).alias("word"))
-    tf = words.groupBy("topic", "word").agg(F.count("*").alias("occurrences"))
-    total = tf.groupBy("word").agg(F.sum("occurrences").alias("total"))
-    mean = tf.agg((F.sum("occurrences") / F.countDistinct("topic")).alias("mean"))
-    scored = tf.join(total, "word").crossJoin(F.broadcast(mean)).withColumn("score", F.round(F.col("occurrences") * F.log(1 + F.col("mean") / F.col("total")), 6))
+    scored = class_scores(word_counts(table(spark, sf_dir, "documents").select(F.col("source").alias("topic"), "text")))
     best = Window.partitionBy("topic").orderBy(F.desc("score"), "word")
-    return scored.withColumn("place", F.row_number().over(best)).filter("place <= 10").select("topic", "word", "occurrences", "score", F.col("place").cast("long").alias("place"))
+    return scored.withColumn("place", F.row_number().over(best)).filter("place <= 10").select("topic", "word", F.col("n").alias("occurrences"), "score", F.col("place").cast("long").alias("place"))
 
 
 @register(
@@ -89,23 +100,6 @@ def repaired_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.fix_split_words(T.fix_mashed_words(F.col("text")))).alias("text_md5"))
 
 
-@register(
-    "heading_parents",
-    """
-    WITH h AS (SELECT source AS doc_id, doc_id AS id, n_chars % 3 + 1 AS level FROM documents),
-    p AS (SELECT *, last_value(CASE WHEN level < 2 THEN id END IGNORE NULLS) OVER w AS p1, last_value(CASE WHEN level < 3 THEN id END IGNORE NULLS) OVER w AS p2
-          FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-    SELECT doc_id, id, level, CASE level WHEN 2 THEN p1 WHEN 3 THEN p2 END AS parent FROM p
-    """,
-)
-def heading_parents(spark, sf_dir):
-    """The nearest earlier heading of a smaller level, for levels 1 to 3."""
-    h = table(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), F.col("doc_id").alias("id"), (F.col("n_chars") % 3 + 1).alias("level"))
-    before = Window.partitionBy("doc_id").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    nearest = lambda k: F.last(F.when(F.col("level") < k, F.col("id")), ignorenulls=True).over(before)
-    return h.withColumns({"p1": nearest(2), "p2": nearest(3)}).select("doc_id", "id", "level", F.when(F.col("level") == 2, F.col("p1")).when(F.col("level") == 3, F.col("p2")).alias("parent"))
-
-
 @register(
     "topic_roll_up",
     "SELECT lang AS category, source AS topic, count(*) AS documents, grouping(lang, source) AS level FROM documents GROUP BY ROLLUP (lang, source)",

@@ -152,15 +152,16 @@ def companies_in_text(docs: DataFrame, companies: DataFrame) -> DataFrame:
     """
     words = lambda c: F.regexp_extract_all(F.upper(c), F.lit(f"({_WORD})"), 1)
     head = F.substring("text", 1, FIRST_PART)
-    rows = docs.select("doc_id", "text", F.explode(F.array_distinct(words(F.col("text")))).alias("symbol"))
-    names = companies.select(F.upper("symbol").alias("symbol"), "name", "place").filter(~F.col("symbol").isin(AMBIGUOUS_SYMBOLS))
-    parts = F.filter(F.transform(F.filter(F.split(F.lower("name"), r"\s+"), lambda w: F.length(w) > 2), lambda w: F.regexp_replace(w, "[.,;:]+$", "")), lambda w: w != "")
-    hit = rows.select("doc_id", "symbol").join(names, "symbol").join(docs.select("doc_id", "text"), "doc_id")
-    named = lambda c: F.exists(parts, lambda w: F.contains(F.lower(c), w))
-    first = F.array_contains(words(head), F.col("symbol"))
-    score = F.when(first & named(head), 200).when(first, 100).when(named(F.col("text")), 1)
-    scored = hit.select("doc_id", "symbol", "place", score.alias("score")).filter("score IS NOT NULL")
-    best = scored.groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("less"), "place", "symbol")).alias("b"))
+    rows = docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("symbol"))
+    bare = F.transform(F.filter(F.split(F.lower("name"), r"\s+"), lambda w: F.length(w) > 2), lambda w: F.regexp_replace(w, "[.,;:]+$", ""))
+    names = companies.select(F.upper("symbol").alias("symbol"), "place", F.filter(bare, lambda w: w != "").alias("parts")).filter(~F.col("symbol").isin(AMBIGUOUS_SYMBOLS))
+    # a text's symbols are few; they meet the text once
+    hits = rows.join(names, "symbol").groupBy("doc_id").agg(F.collect_list(F.struct("symbol", "place", "parts")).alias("found"))
+    near = docs.select("doc_id", F.lower("text").alias("t"), F.lower(head).alias("h"), words(head).alias("w")).join(hits, "doc_id")
+    named = lambda c, parts: F.exists(parts, lambda w: F.contains(c, w))
+    score = lambda x: F.when(F.array_contains("w", x["symbol"]) & named(F.col("h"), x["parts"]), 200).when(F.array_contains("w", x["symbol"]), 100).when(named(F.col("t"), x["parts"]), 1)
+    scored = F.transform("found", lambda x: F.struct((-score(x)).alias("less"), x["place"].alias("place"), x["symbol"].alias("symbol")))
+    best = near.select("doc_id", F.array_min(F.filter(scored, lambda x: x["less"].isNotNull())).alias("b")).filter("b IS NOT NULL")
     return best.select("doc_id", "b.symbol", (-F.col("b.less")).cast("long").alias("score"))
 
 

@@ -43,6 +43,7 @@ def _load() -> None:
         sections,
         topic_models,
         topic_tables,
+        topic_vectors,
         topics,
     )
     from loamwork.streaming import attempts  # noqa: F401

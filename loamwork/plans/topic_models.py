@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamwork.plans.documents import table, topic_keywords
 from loamwork.plans.registry import register
 from loamwork.plans.topics import centroids
+from loamwork.session import materialise
 
 #: Cosine from which an outlier joins a topic, and the number of topics to reduce to.
 REASSIGN, TOPICS = 0.1, 6
@@ -24,33 +24,37 @@ DIVERSITY, CANDIDATES = 0.3, 30
 _WORDS = "regexp_extract_all(lower(text), '[a-z]{3,}')"
 
 
-def reassigned(docs: DataFrame, least: float = REASSIGN) -> DataFrame:
+def reassigned_by(docs: DataFrame, least: float = REASSIGN) -> DataFrame:
     """(doc_id, topic, similarity) for documents (doc_id, topic, text) of no topic: the topic of the most similar words, -1 under ``least``.
 
     Words weigh as in class-based TF-IDF, in documents as in topics; the similarity is
-    the cosine, and of equals the first topic wins. A topic's weights are joined by word.
+    the cosine, and of equals the first topic wins. Each text is read once: the words of
+    topics and those of outliers are counted and written apart.
     """
-    words = docs.select("doc_id", "topic", F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")).alias("word"))
-    counts = words.filter("topic IS NOT NULL").groupBy("topic", "word").agg(F.count("*").alias("n"))
+    words = F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")).alias("word")
+    alone = F.when(F.col("topic").isNull(), F.col("doc_id"))
+    counted = docs.select("topic", alone.alias("doc"), words).groupBy("topic", "doc", "word").agg(F.count("*").alias("n"))
+    counted = materialise(counted, "topic-words")
+    counts = counted.filter("topic IS NOT NULL")
     total = counts.groupBy("word").agg(F.sum("n").alias("total"))
+    # one row
     mean = counts.agg((F.sum("n") / F.countDistinct("topic")).alias("mean"))
-    idf = total.crossJoin(F.broadcast(mean)).select("word", F.log(1 + F.col("mean") / F.col("total")).alias("idf"))
-    topics = counts.join(idf, "word").select("topic", "word", (F.col("n") * F.col("idf")).alias("t"))
+    idf = materialise(total.crossJoin(F.broadcast(mean)).select("word", F.log(1 + F.col("mean") / F.col("total")).alias("idf")), "word-weights")
+    topics = materialise(counts.join(idf, "word").select("topic", "word", (F.col("n") * F.col("idf")).alias("t")), "topic-weights")
     length = topics.groupBy("topic").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("long"))
-    mine = words.filter("topic IS NULL").groupBy("doc_id", "word").agg(F.count("*").alias("n")).join(idf, "word").select("doc_id", "word", (F.col("n") * F.col("idf")).alias("d"))
+    mine = materialise(counted.filter("topic IS NULL").join(idf, "word").select(F.col("doc").alias("doc_id"), "word", (F.col("n") * F.col("idf")).alias("d")), "outlier-weights")
     size = mine.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("own"))
     dots = mine.join(topics, "word").groupBy("doc_id", "topic").agg(F.sum(F.col("d") * F.col("t")).alias("dot"))
-    scored = dots.join(F.broadcast(length), "topic").join(size, "doc_id").select("doc_id", "topic", F.round(F.col("dot") / F.col("long") / F.col("own"), 6).alias("s"))
+    scored = dots.join(length, "topic").join(size, "doc_id").select("doc_id", "topic", F.round(F.col("dot") / F.col("long") / F.col("own"), 6).alias("s"))
     best = scored.groupBy("doc_id").agg(F.min(F.struct((-F.col("s")).alias("less"), "topic")).alias("b"))
-    alone = docs.filter("topic IS NULL").select("doc_id")
     sure = F.coalesce(-F.col("b.less"), F.lit(0.0))
-    return alone.join(best, "doc_id", "left").select("doc_id", F.when(sure >= least, F.col("b.topic")).otherwise("-1").alias("topic"), sure.alias("similarity"))
+    return docs.filter("topic IS NULL").select("doc_id").join(best, "doc_id", "left").select("doc_id", F.when(sure >= least, F.col("b.topic")).otherwise("-1").alias("topic"), sure.alias("similarity"))
 
 
 @register(
     "outliers_reassigned",
     f"""
-    WITH d AS (SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN source END AS topic, text FROM documents),
+    WITH d AS (SELECT doc_id, CASE WHEN length(text) >= 600 THEN source END AS topic, text FROM documents),
     w AS (SELECT doc_id, topic, unnest({_WORDS}) AS word FROM d),
     c AS (SELECT topic, word, count(*) AS n FROM w WHERE topic IS NOT NULL GROUP BY ALL),
     a AS (SELECT sum(n) / count(DISTINCT topic) AS mean FROM c),
@@ -63,9 +67,9 @@ def reassigned(docs: DataFrame, least: float = REASSIGN) -> DataFrame:
     """,
 )
 def outliers_reassigned(spark, sf_dir):
-    """Every tenth document is taken for an outlier and joins the topic whose words are like its own."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 10 != 0, F.col("source")).alias("topic"), "text")
-    return reassigned(docs)
+    """Short documents, which say too little to found a topic, join the topic whose words are like their own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.length("text") >= 600, F.col("source")).alias("topic"), "text")
+    return reassigned_by(docs)
 
 
 def merge_topics(sizes: np.ndarray, vectors: np.ndarray, n: int) -> np.ndarray:
@@ -111,29 +115,6 @@ def diverse(relevance: np.ndarray, vectors: np.ndarray, k: int, diversity: float
     return taken
 
 
-@register("diverse_keywords")
-def diverse_keywords(spark, sf_dir):
-    """Ten keywords a topic of its thirty best, chosen for relevance and variety; a word's vector is its share in each language."""
-    docs = table(spark, sf_dir, "documents")
-    words = docs.select(F.col("source").alias("topic"), "lang", F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")).alias("word"))
-    counts = words.groupBy("topic", "word", "lang").agg(F.count("*").alias("n"))
-    tf = counts.groupBy("topic", "word").agg(F.sum("n").alias("n"))
-    total = tf.groupBy("word").agg(F.sum("n").alias("total"))
-    mean = tf.agg((F.sum("n") / F.countDistinct("topic")).alias("mean"))
-    scored = tf.join(total, "word").crossJoin(F.broadcast(mean)).select("topic", "word", (F.col("n") * F.log(1 + F.col("mean") / F.col("total"))).alias("score"))
-    top = scored.withColumn("r", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("score"), "word"))).filter(F.col("r") <= CANDIDATES)
-    by_lang = counts.groupBy("word", "lang").agg(F.sum("n").alias("n")).groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("lang", F.lit("")), "n"))).alias("v"))
-
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("r").reset_index(drop=True)
-        langs = sorted({x for v in rows["v"] for x in v})
-        vectors = np.array([[v.get(x, 0) for x in langs] for v in rows["v"]], float)
-        chosen = rows.iloc[diverse((rows["score"] / rows["score"].max()).to_numpy(), vectors, 10)].assign(place=lambda x: np.arange(1, len(x) + 1))
-        return chosen[["topic", "word", "place"]]
-
-    return top.join(by_lang, "word").groupBy("topic").applyInPandas(pick, "topic string, word string, place long")
-
-
 def window_counts(tokens: list[str], topics: list[list[str]], window: int = WINDOW) -> tuple[int, list[np.ndarray]]:
     """Windows of a text, and for each topic in how many of them two of its words stand (on the diagonal: one)."""
     n = max(1, len(tokens) - window + 1)

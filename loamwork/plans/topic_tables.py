@@ -15,6 +15,7 @@ from loamwork.functions import text as T
 from loamwork.plans import sql as S
 from loamwork.plans.documents import table, topic_keywords
 from loamwork.plans.registry import register, sql_of
+from loamwork.session import materialise
 
 # Words of keywords, in order, and the names that the first hit gives a topic.
 READABLE = {
@@ -178,7 +179,8 @@ def with_topic_names(docs: DataFrame, topics: DataFrame, missing: str = OUTLIER)
 )
 def document_topics(spark, sf_dir):
     """The topic of each document with its name and size; short texts have none."""
-    topics = _topics(spark, sf_dir).withColumn("Name", numbered_name(F.col("Topic"), keywords_of(F.col("k")))).cache()
+    topics = _topics(spark, sf_dir).withColumn("Name", numbered_name(F.col("Topic"), keywords_of(F.col("k"))))
+    topics = materialise(topics, "topics")
     docs = table(spark, sf_dir, "documents").join(topics.select("source", F.col("Topic").alias("t")), "source", "left")
     marked = docs.select("doc_id", F.when(F.length("text") < 300, F.lit(-1).cast("long")).otherwise(F.col("t")).alias("Topic"), shortened(F.col("text")).alias("raw_preview"))
     return with_topic_names(marked, topics).select("doc_id", "Topic", "raw_preview", "Topic_Name", "Topic_Count")

@@ -6,6 +6,7 @@ time; a broken file gives a row with an error instead of failing the job.
 
 from __future__ import annotations
 
+import functools
 import io
 import re
 import zipfile
@@ -13,6 +14,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,17 @@ LEAST_PDF = 1000
 
 
 def find_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """path, name, length, serial of files at any depth; serial is the number that leads the name, else 999999. Contents are not read."""
+    """path, name, length, serial of files at any depth, by serial and path; serial is the number that leads the name, else 999999. Contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     serial = F.coalesce(F.regexp_extract(name, "^([0-9]+)_", 1).try_cast("int"), F.lit(999_999))
-    return found.select("path", name.alias("name"), "length", serial.alias("serial"))
+    return found.select("path", name.alias("name"), "length", serial.alias("serial")).orderBy("serial", "path")
+
+
+def first_files(spark: SparkSession, folder: str, pattern: str, most: int | None = None) -> DataFrame:
+    """The first ``most`` files by path, or all."""
+    found = find_files(spark, folder, pattern).orderBy("path")
+    return found if most is None else found.limit(most)
 
 
 def read_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -36,8 +44,20 @@ def read_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def pdf_problem(content) -> object:
-    """Why bytes are no PDF file, else null: too small, or without the mark."""
-    return F.when(content.isNull(), "missing").when(F.length(content) < LEAST_PDF, "too small").when(F.substring(content, 1, 4) != F.lit(b"%PDF"), "no PDF mark")
+    """Why bytes are no PDF file, else null: too small, without the mark, or without a page (where objects are not packed)."""
+    pages = F.decode(content, "ISO-8859-1").rlike(r"/Type\s*/(Page\b|ObjStm)")
+    return F.when(content.isNull(), "missing").when(F.length(content) < LEAST_PDF, "too small").when(F.substring(content, 1, 4) != F.lit(b"%PDF"), "no PDF mark").when(~pages, "no pages")
+
+
+def pdf_info(files: DataFrame) -> DataFrame:
+    """path, filename, file_size_mb, pages, title, author, creation_date of PDF files (path, content), as far as their objects are not packed."""
+    raw = F.decode("content", "ISO-8859-1")
+    said = lambda key: F.regexp_extract(raw, rf"/{key}\s*\(((?:\\.|[^()\\])*)\)", 1)
+    pages = F.size(F.regexp_extract_all(raw, F.lit(r"(/Type\s*/Page\b)(?!s)"), 1))
+    return files.select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("filename"), (F.length("content") / F.lit(1024.0 * 1024)).alias("file_size_mb"), pages.cast("long").alias("pages"),
+        said("Title").alias("title"), said("Author").alias("author"), said("CreationDate").alias("creation_date"),
+    )
 
 
 def _decoded(files: DataFrame, decode: Callable[[bytes], list[str]], columns: tuple[str, str]) -> DataFrame:
@@ -98,6 +118,102 @@ def pdf_pages(files: DataFrame, decode: Callable[[bytes], list[str]] = pdf_pages
     return _decoded(files, decode, ("page", "text"))
 
 
+def pages_with_fallbacks(files: DataFrame, decoders: list[Callable[[bytes], list[str]]], least: int = 50) -> DataFrame:
+    """path, page, text, error: of each page the first decoder's text that has ``least`` characters, else the last one's that has any; a decoder that fails is passed over."""
+
+    def decode(content: bytes) -> list[str]:
+        best: list[str] = []
+        failed = None
+        for d in decoders:
+            try:
+                found = d(content)
+            except Exception as e:  # the next one may read it
+                failed = e
+                continue
+            best += [""] * (len(found) - len(best))
+            for k, text in enumerate(found):
+                if len(best[k].strip()) < least and text.strip():
+                    best[k] = text
+        if not best and failed:
+            raise failed
+        return best
+
+    return pdf_pages(files, decode)
+
+
+def routed_pages(files: DataFrame, text: Callable[[bytes], list[str]], scanned: Callable[[bytes], list[str]]) -> DataFrame:
+    """path, page, text, error of files (path, content, kind): 'scanned' ones by one decoder, all others by the other."""
+    by_text = pdf_pages(files.filter("kind IS NULL OR kind <> 'scanned'"), text)
+    return by_text.unionByName(pdf_pages(files.filter("kind = 'scanned'"), scanned))
+
+
+def binarised(pixels: np.ndarray, contrast: float = 1.5) -> np.ndarray:
+    """Black and white of a picture (rows, columns, red green blue) for reading: grey, more contrast around the mean, cut at the mean."""
+    grey = pixels[..., :3] @ np.array([0.299, 0.587, 0.114]) if pixels.ndim == 3 else pixels.astype(float)
+    strong = np.clip(np.rint(grey.mean()) + contrast * (grey - np.rint(grey.mean())), 0, 255)
+    return np.where(strong > strong.mean(), 255, 0).astype(np.uint8)
+
+
+def first_pages(pages: DataFrame, most: int) -> DataFrame:
+    """path and text of the first ``most`` pages of each file, joined."""
+    kept = pages.filter(F.col("page") <= most)
+    return kept.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", F.coalesce("text", F.lit("")).alias("t")))), lambda p: p["t"]), "\n").alias("text"))
+
+
+_X = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+
+def xlsx_rows_of(content: bytes) -> list[list[str | None]]:
+    """Rows of the first sheet of a workbook, cells as text in their columns."""
+    box = zipfile.ZipFile(io.BytesIO(content))
+    names = box.namelist()
+    text = lambda e: "".join(t.text or "" for t in e.iter(f"{_X}t"))
+    shared = [text(e) for e in ElementTree.fromstring(box.read("xl/sharedStrings.xml")).findall(f"{_X}si")] if "xl/sharedStrings.xml" in names else []
+    sheet = ElementTree.fromstring(box.read(min(x for x in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", x))))
+    out = []
+    for row in sheet.iter(f"{_X}row"):
+        cells: list[str | None] = []
+        for c in row.findall(f"{_X}c"):
+            letters = re.match("[A-Z]*", c.get("r", ""))[0]
+            at = functools.reduce(lambda n, x: n * 26 + ord(x) - 64, letters, 0) - 1 if letters else len(cells)
+            value = c.find(f"{_X}v")
+            cells += [None] * (at - len(cells))
+            kind = c.get("t")
+            cells.append(text(c) if kind == "inlineStr" else None if value is None else shared[int(value.text)] if kind == "s" else value.text)
+        out.append(cells)
+    return out
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a registry in a workbook (.xlsx) or CSV file, as text, with ``row_index`` from 1; headers lose white space at their ends. A registry is one small file."""
+    if not path.endswith(".xlsx"):
+        raw = spark.read.option("header", "true").csv(path).coalesce(1)
+        return raw.toDF(*(c.strip() for c in raw.columns)).withColumn("row_index", F.monotonically_increasing_id() + 1)
+    head, *rows = xlsx_rows_of(spark.read.format("binaryFile").load(path).select("content").first()[0]) or [[]]
+    names = [str(c or f"column {k}").strip() for k, c in enumerate(head)]
+    schema = ", ".join(f"`{n}` string" for n in [*names])
+    table = [(*(r + [None] * len(names))[: len(names)], k) for k, r in enumerate(rows, 1)]
+    return spark.createDataFrame(table, f"{schema}, row_index long" if names else "row_index long")
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV table with a header, or an empty one where there is none; columns that it lacks are null, broken rows too."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    wanted = spark.createDataFrame([], schema).schema
+    raw = spark.read.option("header", "true").csv(path)
+    return raw.select(*((F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields))
+
+
+def report_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, source_file, json and error of JSON reports at any depth, one file one row; broken ones have an error and no JSON."""
+    t = F.col("content").cast("string")
+    broken = F.from_json(t, "map<string,string>").isNull() & ~F.ltrim(t).startswith("[")
+    read = read_files(spark, folder, "*.json").select("path", t.alias("t"), broken.alias("broken"))
+    return read.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"), F.when(~F.col("broken"), F.col("t")).alias("json"), F.when(F.col("broken"), "no JSON object").alias("error"))
+
+
 def first_member(files: DataFrame, suffix: str = ".pdf") -> DataFrame:
     """path, member, content, error: the first member with the suffix of each ZIP file (path, content)."""
 

@@ -50,8 +50,6 @@ def test_queries(spark):
     q = registry.queries()
     merged = q["merged_topics"](spark, DATA).collect()
     assert len(merged) == 500 and len({r.topic for r in merged}) <= 6
-    words = q["diverse_keywords"](spark, DATA).collect()
-    assert all(len({r.word for r in words if r.topic == t}) == 10 for t in {r.topic for r in words})
     assert all(-1 <= r.coherence <= 1 for r in q["topic_coherence"](spark, DATA).collect())
     assert q["layout_lines"](spark, DATA).count() > 0
 
