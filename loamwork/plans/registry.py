@@ -35,6 +35,7 @@ def _load() -> None:
         assessment,
         companies,
         documents,
+        file_plans,
         filings,
         layout,
         lines,
