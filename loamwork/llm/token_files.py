@@ -48,8 +48,11 @@ def write_token_files(
     of the rows before it in its file), n_tokens, ids. Nulls: a null text has the end
     id alone; null doc_ids come first. Repeated doc_ids are ordered by their texts. An
     empty table gives files without rows. Extra columns are not read. The tokenizer
-    file is read on the driver and sent to the workers (a fixed size).
+    file is read on the driver and sent to the workers (a fixed size). ``index_stride`` is
+    1000 rows at least, as the format asks.
     """
+    if index_stride < 1000:
+        raise ValueError("a row index has an entry for 1000 rows or more")
     with open(tokenizer_path, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -95,12 +98,19 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """Rows of the given documents: the filter reaches the files' row indexes and Bloom filters."""
+    """Rows of the given documents: the filter reaches the files' row indexes and Bloom filters.
+
+    Null doc_ids are never among them; rows that repeat a doc_id all are; files without
+    rows, and doc_ids that no file has, give none.
+    """
     return spark.read.schema(SCHEMA).orc(path).filter(F.col("doc_id").isin(doc_ids))
 
 
 def with_ids_crc32(rows: DataFrame) -> DataFrame:
-    """Replace ids by ids_crc32, the unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
+    """Replace ids by ids_crc32, the unsigned crc32 of the ids as little-endian unsigned 32-bit integers.
+
+    Null or no ids have that of no bytes, 0. Other columns and repeated rows stay.
+    """
     import zlib
 
     kept = [f for f in rows.schema.fields if f.name != "ids"]
