@@ -250,10 +250,18 @@ def heading(line: Column, before: Column, after: Column, phrases: Iterable[str]
 
 
 def file_size(n: Column) -> Column:
-    """Bytes in steps of 1024 with two decimals."""
-    out = F.format_string("%.2f TB", n / F.lit(1024.0**4))
+    """Whole bytes in steps of 1024 with two decimals, half to even; whole numbers all the way, so nothing is lost."""
+    n = n.cast("long")
+
+    def written(k: int, unit: str) -> Column:
+        step = F.lit(1024**k).cast("long")
+        low, rest = F.floor(n * 100 / step), (n * 100) % step * 2
+        cents = low + F.when((rest > step) | ((rest == step) & (low % 2 == 1)), 1).otherwise(0)
+        return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"), F.lit(f" {unit}"))
+
+    out = written(4, "TB")
     for k, unit in reversed(list(enumerate(["B", "KB", "MB", "GB"]))):
-        out = F.when(n < F.lit(1024.0 ** (k + 1)), F.format_string(f"%.2f {unit}", n / F.lit(1024.0**k))).otherwise(out)
+        out = F.when(n < F.lit(1024 ** (k + 1)), written(k, unit)).otherwise(out)
     return out
 
 

@@ -61,19 +61,19 @@ def status_by_year(spark, sf_dir):
 @register(
     "file_estimates",
     r"""
-    WITH f AS (SELECT o_orderkey AS file, o_totalprice::DOUBLE AS n, o_totalprice::DOUBLE / 100 AS mb, CASE WHEN o_orderkey % 3 = 0 THEN 'scanned' ELSE 'text' END AS kind FROM orders),
+    WITH f AS (SELECT o_orderkey AS file, floor(o_totalprice)::BIGINT AS n, floor(o_totalprice)::DOUBLE / 97.13::DOUBLE AS mb, CASE WHEN o_orderkey % 3 = 0 THEN 'scanned' ELSE 'text' END AS kind FROM orders),
     m AS (SELECT *, CASE WHEN kind = 'scanned' THEN mb * 0.5::DOUBLE ELSE mb * 0.1::DOUBLE END AS minutes FROM f)
     SELECT file, kind, CASE WHEN minutes < 1 THEN '< 1 minute' WHEN minutes < 60 THEN '~' || floor(minutes)::INT || ' minutes' ELSE '~' || format('{:.1f}', minutes / 60) || ' hours' END AS estimate,
-           CASE WHEN n < 1024 THEN format('{:.2f} B', n) WHEN n < 1048576 THEN format('{:.2f} KB', n / 1024) ELSE format('{:.2f} MB', n / 1048576) END AS size,
+           CASE WHEN n < 1024 THEN format('{:.2f} B', n::DOUBLE) WHEN n < 1048576 THEN format('{:.2f} KB', n / 1024) ELSE format('{:.2f} MB', n / 1048576) END AS size,
            CASE WHEN file % 4 = 0 THEN '19' WHEN file % 4 = 1 THEN '20' END AS century FROM m
     """,
 )
 def file_estimates(spark, sf_dir):
     """Sizes of files, how long they may take, and the century in their names; prices stand in for sizes."""
     k = F.col("o_orderkey")
-    n, kind = F.col("o_totalprice").cast("double"), F.when(k % 3 == 0, "scanned").otherwise("text")
+    n, kind = F.floor("o_totalprice").cast("long"), F.when(k % 3 == 0, "scanned").otherwise("text")
     name = F.when(k % 4 == 0, "a 1999 2001").when(k % 4 == 1, "2024-25").otherwise("x12024")
-    return table(spark, sf_dir, "orders").select(k.alias("file"), kind.alias("kind"), T.estimated_time(n / 100, kind).alias("estimate"), T.file_size(n).alias("size"), T.century(name).alias("century"))
+    return table(spark, sf_dir, "orders").select(k.alias("file"), kind.alias("kind"), T.estimated_time(n.cast("double") / 97.13, kind).alias("estimate"), T.file_size(n).alias("size"), T.century(name).alias("century"))
 
 
 @register(
