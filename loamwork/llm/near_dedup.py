@@ -9,7 +9,9 @@ counts has been verified on the two sets of 64-bit shingle hashes.
 Texts with the same set are one node. First a spanning forest of the candidates is
 verified, close pairs first; its true links join most groups with less than one
 comparison for each node. Then all candidates whose members are still in different groups
-are verified, so a refuted link of the forest hides no other.
+are verified, so a refuted link of the forest hides no other. Those are many where texts
+share a long passage and are not similar enough; so they are verified in the shards that
+find them, and no shard gives more links than it has nodes.
 """
 
 from __future__ import annotations
@@ -82,11 +84,13 @@ def _split(made: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shard_pairs(fp: np.ndarray, size: np.ndarray, home: np.ndarray, group: np.ndarray | None, band: int, bands: Bands, radius: int, similarity: float) -> Iterator[np.ndarray]:
     """Candidate pairs of one shard, as rows of two row numbers.
 
-    Without ``group``, a spanning forest of them, in which close pairs come first in
-    each block; with it, all pairs of different groups, each in the first band that
-    has it. The local tree is that of simhash.shard_links.
+    A pair belongs to the first band that has it, so no other band gives it again. Without
+    ``group``, a spanning forest of the band's pairs, in which close pairs come first in
+    each block; with it, all pairs of different groups. The local tree is that of
+    simhash.shard_links.
     """
     value, reach = bands.of(fp, band), bands.reach
+    earlier = [bands.of(fp, k) for k in range(band)]
     union = _Union(len(fp))
     todo = [(np.flatnonzero(home), np.arange(len(fp)))]
     while todo:
@@ -115,29 +119,29 @@ def shard_pairs(fp: np.ndarray, size: np.ndarray, home: np.ndarray, group: np.nd
             if group is not None:
                 ok &= group[a] != group[b]
             a, b = a[ok], b[ok]
+            for other in earlier:  # most pairs leave with the first of them
+                if not len(a):
+                    break
+                ok = np.bitwise_count(other[a] ^ other[b]) > reach
+                a, b = a[ok], b[ok]
             distance = np.bitwise_count(fp[a] ^ fp[b]).sum(1, dtype=np.int64)
             ok = distance <= radius
             a, b, distance = a[ok], b[ok], distance[ok]
-            if group is None:
-                for low in range(0, radius + 1, 16):
-                    near = (distance >= low) & (distance < low + 16)
-                    yield np.array(union.join(a[near], b[near]), np.int64).reshape(-1, 2)
+            if group is not None:
+                yield np.stack([a, b], 1)
                 continue
-            first = np.ones(len(a), bool)
-            for earlier in range(band):
-                other = bands.of(fp, earlier)
-                first &= np.bitwise_count(other[a] ^ other[b]) > reach
-            yield np.stack([a[first], b[first]], 1)
+            for low in range(0, radius + 1, 16):
+                near = (distance >= low) & (distance < low + 16)
+                yield np.array(union.join(a[near], b[near]), np.int64).reshape(-1, 2)
 
 
-def candidates(made: DataFrame, radius: int, similarity: float, bands: Bands = CANDIDATES, shard_rows: int = SHARD_ROWS, sample: int = SAMPLE) -> DataFrame:
-    """(a, b): candidate pairs of the distinct nodes in ``made``; with a column ``component``, all pairs of different ones, else a forest."""
-    grouped = "component" in made.columns
+def _dealt(made: DataFrame, bands: Bands, shard_rows: int, sample: int) -> DataFrame:
+    """(band, shard, home, node, grp): distinct nodes in the shards of every band's tree where they are or may have partners."""
     n = made.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_rows))))
     some = made.select("node").sample(min(1.0, sample / n), seed=3).limit(2 * sample).toArrow()["node"].to_pylist() if depth else []
     forest = Forest(_split(some)[0] if some else np.zeros((0, 1), np.uint64), depth, bands)
-    rows = made.select("node", (F.xxhash64("component") if grouped else F.lit(0).cast("long")).alias("grp"))
+    rows = made.select("node", (F.xxhash64("component") if "component" in made.columns else F.lit(0).cast("long")).alias("grp"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,19 +154,68 @@ def candidates(made: DataFrame, radius: int, similarity: float, bands: Bands = C
                 yield pa.RecordBatch.from_pydict({"band": pa.array(np.full(len(row), band, np.int32)), "shard": pa.array(shard), "home": pa.array(home), "node": batch.column("node").take(at), "grp": batch.column("grp").take(at)})
         settle()
 
+    return rows.mapInArrow(deal, "band int, shard long, home boolean, node binary, grp long")
+
+
+def candidate_forest(made: DataFrame, radius: int, similarity: float, bands: Bands = CANDIDATES, shard_rows: int = SHARD_ROWS, sample: int = SAMPLE) -> DataFrame:
+    """(a, b): links that connect what the candidate pairs of the distinct nodes in ``made`` connect, fewer in each shard than it has nodes."""
+
     def search(key, rows):
         rows = rows.sort_by("node")
         fp, size = _split(rows["node"].to_pylist())
-        group = rows["grp"].to_numpy() if grouped else None
-        found = [*shard_pairs(fp, size, rows["home"].to_numpy(), group, key[0].as_py(), bands, radius, similarity), np.zeros((0, 2), np.int64)]
+        found = [*shard_pairs(fp, size, rows["home"].to_numpy(), None, key[0].as_py(), bands, radius, similarity), np.zeros((0, 2), np.int64)]
         pairs = np.concatenate(found)
         return pa.table({"a": rows["node"].take(pa.array(pairs[:, 0])), "b": rows["node"].take(pa.array(pairs[:, 1]))})
 
-    dealt = rows.mapInArrow(deal, "band int, shard long, home boolean, node binary, grp long")
-    pairs = dealt.groupBy("band", "shard").applyInArrow(search, "a binary, b binary")
+    pairs = _dealt(made, bands, shard_rows, sample).groupBy("band", "shard").applyInArrow(search, "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def links_between_groups(grouped: DataFrame, sets: DataFrame, radius: int, similarity: float, bands: Bands = CANDIDATES, shard_rows: int = SHARD_ROWS, sample: int = SAMPLE) -> DataFrame:
+    """(a, b): verified links that connect what all verified candidate pairs of nodes (node, component) in different components connect.
+
+    Shards first name the nodes that have such a pair there. Only those get their sets, and
+    the pairs are verified where they are found: what leaves a shard are links that join
+    two groups, fewer than it has nodes, never its pairs.
+    """
+    place = ["band", "shard", "home", "node", "grp"]
+    schema = "band int, shard long, home boolean, node binary, grp long"
+
+    def name(key, rows):
+        rows = rows.sort_by("node")
+        fp, size = _split(rows["node"].to_pylist())
+        has = np.zeros(len(fp), bool)
+        for pairs in shard_pairs(fp, size, rows["home"].to_numpy(), rows["grp"].to_numpy(), key[0].as_py(), bands, radius, similarity):
+            has[pairs.ravel()] = True
+        return rows.select(place).filter(pa.array(has))
+
+    def verify(key, rows):
+        rows = rows.sort_by("node")
+        fp, size = _split(rows["node"].to_pylist())
+        group = rows["grp"].to_numpy()
+        shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
+        _, first, again = np.unique(group, return_index=True, return_inverse=True)
+        union, links = _Union(len(fp)), []
+        union.parent[:] = first[again]
+        for pairs in shard_pairs(fp, size, rows["home"].to_numpy(), group, key[0].as_py(), bands, radius, similarity):
+            for a, b in pairs.tolist():
+                if union.root(a) != union.root(b) and _similar(shingles[a], shingles[b], similarity):
+                    union.parent[max(union.root(a), union.root(b))] = min(union.root(a), union.root(b))
+                    links.append((a, b))
+        found = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": rows["node"].take(pa.array(found[:, 0])), "b": rows["node"].take(pa.array(found[:, 1]))})
+
+    named = _dealt(grouped, bands, shard_rows, sample).groupBy("band", "shard").applyInArrow(name, schema)
+    able = lookup(materialise(named, "near-places"), ["node"], ["band", "shard"], sets)
+    return able.groupBy("band", "shard").applyInArrow(verify, "a binary, b binary")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether sorted sets of hashes have at least the Jaccard similarity."""
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= similarity * (len(x) + len(y) - shared) - 1e-9
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets have at least the Jaccard similarity."""
     one = lookup(pairs, ["a"], ["b"], sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")))
@@ -172,9 +225,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+                keep.append(_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), similarity))
             yield pa.RecordBatch.from_pydict({k: batch.column(k).filter(pa.array(keep, pa.bool_())) for k in ("a", "b")})
         settle()
 
@@ -195,15 +246,14 @@ def near_components(docs: DataFrame, width: int, similarity: float, bands: Bands
     made = materialise(nodes(docs, width, LONG), "near-nodes")
     # the row that stands for a node
     distinct = materialise(made.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("row")), "distinct-nodes")
-    forest = materialise(candidates(distinct, radius, similarity, bands, shard_rows), "near-forest")
+    forest = materialise(candidate_forest(distinct, radius, similarity, bands, shard_rows), "near-forest")
     near = forest.select(F.col("a").alias("node")).union(forest.select(F.col("b").alias("node"))).distinct()
     near = materialise(distinct.join(near, "node", "left_semi").select("node", "row.doc_id", "row.text_key"), "near-candidates")
     sets = materialise(shingle_sets(docs, near, width), "near-sets")
     sure = materialise(verified(forest, sets, similarity), "near-links")
     grouped = near.select("node").join(components(sure).withColumnRenamed("node", "__of"), F.col("node") == F.col("__of"), "left")
     grouped = materialise(grouped.select("node", F.coalesce("component", "node").alias("component")), "near-groups")
-    rest = materialise(candidates(grouped, radius, similarity, bands, shard_rows), "near-rest")
-    more = materialise(verified(rest, sets, similarity), "near-links")
+    more = materialise(links_between_groups(grouped, sets, radius, similarity, bands, shard_rows), "near-links")
     groups = components(sure.union(more)) if not more.isEmpty() else grouped
     named = distinct.join(groups.withColumnRenamed("node", "__of"), F.col("node") == F.col("__of"), "left").select("node", "row", F.coalesce("component", "node").alias("component"))
     best = lookup(named, ["component"], ["node"], named.groupBy("component").agg(F.min("row").alias("best"))).select("node", "best")
