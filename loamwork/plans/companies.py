@@ -231,6 +231,23 @@ def resume_point(spark, sf_dir):
     return next_company(_stand_in_status(spark, sf_dir), registry_companies(spark, sf_dir))
 
 
+@register(
+    "usable_downloads",
+    f"""WITH {_SQL_STATUS} SELECT seq, symbol, year, 'd/' || seq || '.pdf' AS file_path FROM st WHERE status = 'Downloaded' AND seq % 5 > 1""",
+)
+def usable_downloads(spark, sf_dir):
+    """Downloads whose file has a path: not null, not blank, not 'nan'."""
+    k = F.col("seq")
+    status = _stand_in_status(spark, sf_dir).withColumn("file_path", F.when(k % 5 == 0, F.when(k % 2 == 0, " ").otherwise("nan")).when(k % 5 > 1, F.concat(F.lit("d/"), k.cast("string"), F.lit(".pdf"))))
+    return with_files(status).select("seq", "symbol", "year", "file_path")
+
+
+def with_files(status: DataFrame) -> DataFrame:
+    """Status rows that are 'Downloaded' and have a path; null, blank and 'nan' are none."""
+    path = F.coalesce("file_path", F.lit(""))
+    return status.filter((F.col("status") == "Downloaded") & ~T.is_blank(path) & (F.lower(T.strip(path)) != "nan"))
+
+
 def expected_files(found: DataFrame, files: DataFrame) -> DataFrame:
     """One row for each company with status and file name in each year: the name that its report should have is among the files (name), or not."""
     tasks = found.withColumn("year", F.explode(F.array(*map(F.lit, YEARS))))

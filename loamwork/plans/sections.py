@@ -330,7 +330,7 @@ def sections_of(pages: DataFrame, bounds: DataFrame) -> DataFrame:
     WITH {_SQL_LAYOUT}, s AS ({' UNION ALL '.join(_sql_section(k) for k in SECTION_WORDS)}),
     kinds AS (SELECT unnest([{', '.join(map(S.quoted, SECTION_WORDS))}]) AS section), ids AS (SELECT DISTINCT conv_id AS doc_id FROM conversations),
     t AS (SELECT s.doc_id, s.section, count(*) AS page_count, string_agg(c.text, chr(10) || chr(10) ORDER BY c.turn) AS text FROM s JOIN conversations c ON c.conv_id = s.doc_id AND c.turn BETWEEN start_page AND end_page GROUP BY ALL)
-    SELECT doc_id, section, start_page, end_page, page_count, length(text) AS character_count, md5(text) AS text_md5, CASE WHEN start_page IS NULL THEN 'Section not found in document' END AS note
+    SELECT doc_id, section, array_to_string(list_transform(string_split(section, '_'), lambda w: upper(w[1]) || w[2:]), ' ') AS title, start_page, end_page, page_count, length(text) AS character_count, md5(text) AS text_md5, CASE WHEN start_page IS NULL THEN 'Section not found in document' END AS note
     FROM ids CROSS JOIN kinds LEFT JOIN s USING (doc_id, section) LEFT JOIN t USING (doc_id, section)
     """,
 )
@@ -340,7 +340,7 @@ def section_contents(spark, sf_dir):
     found = sections_of(pages, section_boundaries(_stand_in_blocks(spark, sf_dir)))
     wanted = pages.select("doc_id").distinct().select("doc_id", F.explode(F.array(*map(F.lit, SECTION_WORDS))).alias("section"))
     return wanted.join(found, ["doc_id", "section"], "left").select(
-        "doc_id", "section", "start_page", "end_page", "page_count", F.length("text").cast("long").alias("character_count"), F.md5("text").alias("text_md5"),
+        "doc_id", "section", F.initcap(F.replace("section", F.lit("_"), F.lit(" "))).alias("title"), "start_page", "end_page", "page_count", F.length("text").cast("long").alias("character_count"), F.md5("text").alias("text_md5"),
         F.when(F.col("start_page").isNull(), "Section not found in document").alias("note"),
     )
 

@@ -141,6 +141,30 @@ def pages_with_fallbacks(files: DataFrame, decoders: list[Callable[[bytes], list
     return pdf_pages(files, decode)
 
 
+def placed_words(files: DataFrame, decode: Callable[[bytes], list[tuple[int, str, float, float, float, float]]]) -> DataFrame:
+    """path, page, text, x0, x1, top, bottom, error: the words of files (path, content) with their places, as ``decode`` gives them; a file that cannot be read has one row with an error."""
+    names = ["page", "text", "x0", "x1", "top", "bottom"]
+    types = [pa.int64(), pa.string(), *[pa.float64()] * 4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                try:
+                    words, error = decode(content.as_py() or b""), None
+                except Exception as e:  # a broken file of any kind must not fail the job
+                    words, error = [(None,) * 6], f"{type(e).__name__}: {e}"
+                columns = list(zip(*words, strict=True)) or [()] * 6
+                n = len(words)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.array([error] * n, pa.string())], names=["path", *names, "error"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, page long, text string, x0 double, x1 double, top double, bottom double, error string")
+
+
+def json_sizes(files: DataFrame) -> DataFrame:
+    """path and chars of text files (path, content), the longest first."""
+    return files.select("path", F.length(F.col("content").cast("string")).alias("chars")).orderBy(F.desc("chars"), "path")
+
+
 def routed_pages(files: DataFrame, text: Callable[[bytes], list[str]], scanned: Callable[[bytes], list[str]]) -> DataFrame:
     """path, page, text, error of files (path, content, kind): 'scanned' ones by one decoder, all others by the other."""
     by_text = pdf_pages(files.filter("kind IS NULL OR kind <> 'scanned'"), text)

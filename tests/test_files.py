@@ -152,6 +152,9 @@ def test_reports_and_models(spark, tmp_path):
     (tmp_path / "j" / "b.json").write_text("{oops")
     got = {r.source_file: (r.json, r.error) for r in S.report_files(spark, str(tmp_path / "j")).collect()}
     assert got == {"a.json": ('{"structure": []}', None), "b.json": (None, "no JSON object")}
+    words = S.placed_words(S.read_files(spark, str(tmp_path / "j"), "*.json"), lambda c: [(1, "w", 0.0, 1.0, 2.0, 3.0)] if c.startswith(b'{"') else [][0]).collect()
+    assert sorted((r.path[-6:], r.text, r.bottom, (r.error or "")[:10]) for r in words) == [("a.json", "w", 3.0, ""), ("b.json", None, None, "IndexError")]
+    assert [r.chars for r in S.json_sizes(S.read_files(spark, str(tmp_path / "j"), "*.json")).collect()] == [17, 5]
     assert [r.name for r in S.first_files(spark, str(tmp_path / "j"), "*.json", 1).collect()] == ["a.json"]
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
