@@ -50,8 +50,12 @@ def pattern_slices(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 CUTS = {"words": word_pieces, "slices": pattern_slices}
 
 
+#: Pieces that are remembered.
+CACHED = 250_000
+
+
 class LibraryTokenizer:
-    def __init__(self, content: bytes, cut: str):
+    def __init__(self, content: bytes, cut: str, cached: int = CACHED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -59,7 +63,7 @@ class LibraryTokenizer:
         # what marks added tokens, in lower case
         self.added = sorted({t["content"].lower().encode() for t in json.loads(content).get("added_tokens") or []})
         self.cut = CUTS[cut]
-        self.cache = IdCache(self._encode_many)
+        self.cache = IdCache(self._encode_many, cached)
 
     def _encode_many(self, strings: list[bytes]) -> list:
         return [x.ids for x in self.tokenizer.encode_batch_fast([s.decode() for s in strings], add_special_tokens=False)]
@@ -101,13 +105,13 @@ class LibraryTokenizer:
         return np.unique(np.array(found, np.int64))
 
 
-_loaded: dict[tuple[int, str], LibraryTokenizer] = {}
+_loaded: dict[tuple[int, str, int], LibraryTokenizer] = {}
 
 
-def library_tokenizer(content: bytes, cut: str) -> LibraryTokenizer:
-    """The tokenizer of a JSON file, once in each worker process."""
+def library_tokenizer(content: bytes, cut: str, cached: int = CACHED) -> LibraryTokenizer:
+    """The tokenizer of a JSON file, once in each worker process, that remembers about ``cached`` pieces, or twice as many."""
     hold("library", _loaded.clear)
-    key = zlib.crc32(content), cut
+    key = zlib.crc32(content), cut, cached
     if key not in _loaded:
-        _loaded[key] = LibraryTokenizer(content, cut)
+        _loaded[key] = LibraryTokenizer(content, cut, cached)
     return _loaded[key]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamwork.llm.library_tokenizer import library_tokenizer
+from loamwork.llm.library_tokenizer import CACHED, library_tokenizer
 from loamwork.llm.texts import CHUNK_BYTES, chunks, lists
 from loamwork.operators.ordering import with_global_index
 from loamwork.session import materialise
@@ -33,7 +33,7 @@ GAP = 5e-4
 STEPS = 10
 
 
-def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True, cached: int = CACHED) -> DataFrame:
     """Pieces of at most ``length`` ids: doc_id, start, length, ids_crc32, doc_tokens, and ids if asked for.
 
     Each text is encoded whole, ``end_id`` comes after it, and every piece but the last
@@ -44,7 +44,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, length: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = library_tokenizer(content.value, cut)
+        tokenizer = library_tokenizer(content.value, cut, cached)
         for rows, data, at in chunks(batches, limit=chunk_bytes):
             ids, ends = tokenizer.encode(data, at, end_id)
             tokens = np.diff(ends)
@@ -173,10 +173,11 @@ def whole_patterns(demand: np.ndarray, gap: float = GAP) -> tuple[np.ndarray, np
     return patterns[uses > 0], uses[uses > 0]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, granule: int = GRANULE, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH, granule: int = GRANULE, cut: str = "slices", chunk_bytes: int = CHUNK_BYTES, with_ids: bool = False, cached: int = CACHED) -> DataFrame:
     """Pack all documents: one row per piece with doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if asked for.
 
-    ``chunk_bytes`` of text are tokenized at once; less takes less memory and more time.
+    ``chunk_bytes`` of text are tokenized at once, and about ``cached`` pieces of text
+    remembered; less takes less memory and more time.
 
     Every id lies in one piece; pieces of a sequence lie end to end from offset 0.
     Nulls: see cut_documents. Ties: rests of a length class are ranked by doc_id, and
@@ -186,7 +187,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = LENGTH
     """
     if length % granule:
         raise ValueError("length must be a multiple of granule")
-    pieces = cut_documents(docs, tokenizer_path, end_id, length, cut, chunk_bytes, with_ids)
+    pieces = cut_documents(docs, tokenizer_path, end_id, length, cut, chunk_bytes, with_ids, cached)
     pieces = materialise(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     capacity = length // granule
     size = F.when(F.col("length") == length, F.lit(capacity + 1)).otherwise(F.ceil(F.col("length") / granule)).cast("int")
