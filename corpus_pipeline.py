@@ -32,14 +32,19 @@ from loamwork.session import delete_paths, materialise, steps_into
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Less than the operator takes alone: here the executors' heaps have grown in earlier stages.
-_CHUNK = 1 << 20
+_CHUNK, _CACHED = 1 << 19, 64_000
+#: Rows that go to a Python worker at once, where the session allows more.
+_ROWS = 1000
 #: Tables that the stage before wrote on its way.
 _left: list[str] = []
 
 
 def _within(spark: SparkSession, stage: Callable[[], DataFrame]) -> DataFrame:
-    """The stage's rows; tables of the stage before go first."""
+    """The stage's rows; tables of the stage before go first. Arrow batches of the session get at most _ROWS rows."""
     delete_paths(spark, _left)
+    most = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < most <= _ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS))
     with steps_into(_left):
         return stage()
 
@@ -82,7 +87,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024, with their token ids; a null text has the end id alone."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return _within(spark, lambda: pack(docs, path, end_id=0, length=1024, chunk_bytes=_CHUNK, with_ids=True))
+    return _within(spark, lambda: pack(docs, path, end_id=0, length=1024, chunk_bytes=_CHUNK, with_ids=True, cached=_CACHED))
 
 
 STAGES = [
