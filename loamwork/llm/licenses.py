@@ -2,13 +2,16 @@
 
 A window of twice a template's length, at every start in a text, matches when it holds
 at least THRESHOLD of the template's distinct words, all words of REQUIRED that the
-template has, and no word that names a licence of the same family with other terms.
+template has, and no word that names a licence of the same family with other terms. A
+window with such a word ends before it, and what is left matches when it also has
+THRESHOLD of the template's words in their order: a notice matches beside one of its
+family, and the end of a notice with the beginning of the next does not.
 Templates' words are ordered by how often they occur in all documents, rarest first.
 Only windows around the rarest required word are looked at; of its places, those
 without a word of the template's prefix in reach are dropped (prefix filter), then those
 with too few words of the template in reach (length filter); the rest is counted at every
 start. No match is missed by the filters. Starts in a row that match are one match,
-given at the first of those with the largest share.
+given at the first of those with the largest share, with the first and last start of the row.
 
 Documents are not shuffled: templates are a fixed list, sent to every task.
 """
@@ -80,6 +83,9 @@ class Template:
     required: np.ndarray
     #: Words that a match must not hold.
     excluded: np.ndarray
+    #: All words in their order, and how many of them a window that was cut must have so.
+    sequence: np.ndarray
+    least_in_order: int
 
     @property
     def prefix(self) -> np.ndarray:
@@ -118,17 +124,33 @@ def ordered_templates(frequency: dict[bytes, int], threshold: float) -> tuple[li
         words = np.array(sorted({number[w.encode()] for w in text.split()}))
         required = np.array(sorted({number[w.encode()] for w in text.split() if w in REQUIRED}))
         excluded = np.array(sorted(number[w.encode()] for w in EXCLUDED.get(label, ())), np.int64)
-        out.append(Template(label, len(text.split()), words, math.ceil(threshold * len(words) - 1e-9), required, excluded))
+        sequence = np.array([number[w.encode()] for w in text.split()])
+        least, in_order = (math.ceil(threshold * len(x) - 1e-9) for x in (words, sequence))
+        out.append(Template(label, len(sequence), words, least, required, excluded, sequence, in_order))
     return order, out
 
 
-def window_matches(template: Template, word: np.ndarray, ends: np.ndarray, doc_of: np.ndarray) -> list[tuple[int, int, float]]:
-    """(text, first word of the window, containment) of every run of windows that meet the threshold.
+def in_order(sequence: np.ndarray, rows: np.ndarray, block: int = 8192) -> np.ndarray:
+    """How many words of ``sequence`` stand in each row in their order: the longest common subsequence."""
+    out = np.zeros(len(rows), np.int64)
+    for at in range(0, len(rows), block):
+        part = rows[at : at + block]
+        longest = np.zeros((len(part), len(sequence) + 1), np.int32)
+        for column in part.T:
+            longer = longest[:, :-1] + (column[:, None] == sequence)
+            longest[:, 1:] = np.maximum.accumulate(np.maximum(longest[:, 1:], longer), axis=1)
+        out[at : at + block] = longest[:, -1]
+    return out
+
+
+def window_matches(template: Template, word: np.ndarray, ends: np.ndarray, doc_of: np.ndarray) -> list[tuple[int, int, int, float, int, int]]:
+    """(text, first word of the window, its words, containment, first and last start) of every run of windows that meet the threshold.
 
     ``word``: numbers in the global order of all words of the texts, -1 for others.
     """
     n, size = len(template.words), 2 * template.n_words
     hits = np.flatnonzero(word == template.required[0])
+    starts, full = np.arange(size), np.arange(size, 2 * size)
     found: list[np.ndarray] = []
     for at in range(0, len(hits), 4096):
         hit = hits[at : at + 4096]
@@ -142,22 +164,34 @@ def window_matches(template: Template, word: np.ndarray, ends: np.ndarray, doc_o
         keep = np.isin(near, template.words).sum(1) >= template.least
         hit, near, inside = hit[keep], near[keep], inside[keep]
         shared, whole = np.zeros((len(hit), size), np.int64), inside[:, :size].copy()
-        for w in [*template.words.tolist(), *template.excluded.tolist()]:
+        # a window ends before the first excluded word behind this place; one before this place parts them
+        other = np.isin(near, template.excluded)
+        whole &= ~np.logical_or.accumulate(other[:, size - 1 :: -1], axis=1)[:, ::-1]
+        cut = np.where(other[:, size:].any(1), size + other[:, size:].argmax(1), 2 * size)
+        stop = np.minimum(full, cut[:, None])
+        for w in template.words.tolist():
             seen = np.zeros((len(hit), near.shape[1] + 1), np.int64)
             np.cumsum(near == w, axis=1, out=seen[:, 1:])
-            holds = seen[:, size:] > seen[:, : size]
-            if w in template.excluded:
-                whole &= ~holds
-                continue
+            holds = np.take_along_axis(seen, stop, 1) > seen[:, :size]
             shared += holds
             if w in template.required:
                 whole &= holds
         row, start = np.nonzero(whole & (shared >= template.least))
-        found.append(np.stack([hit[row] + 1 - size + start, shared[row, start]], 1))
+        first, count, end = hit[row] + 1 - size + start, shared[row, start], stop[row, start]
+        # a start is found from every place of the required word in its window, always with the same end
+        first, one = np.unique(first, return_index=True)
+        row, start, count, end = row[one], start[one], count[one], end[one]
+        short = np.flatnonzero(end < start + size)
+        column = start[short, None] + starts
+        words = np.where(column < end[short, None], near[row[short, None], np.minimum(column, 2 * size - 2)], -1)
+        keep = np.ones(len(first), bool)
+        keep[short] = in_order(template.sequence, words) >= template.least_in_order
+        length = np.minimum(end - start, ends[doc_of[first] + 1] - first)
+        found.append(np.stack([first, count, length], 1)[keep])
     if not found:
         return []
     start, first = np.unique(np.concatenate(found)[:, 0], return_index=True)
-    shared = np.concatenate(found)[first, 1]
+    _, shared, length = np.concatenate(found)[first].T
     if not len(start):
         return []
     begins = np.flatnonzero(np.append(True, (np.diff(start) > 1) | (doc_of[start[1:]] != doc_of[start[:-1]])))
@@ -165,7 +199,8 @@ def window_matches(template: Template, word: np.ndarray, ends: np.ndarray, doc_o
     for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(start)], strict=True):
         best = a + int(np.argmax(shared[a:b]))
         d = int(doc_of[start[best]])
-        out.append((d, int(start[best] - ends[d]), int(shared[best]) / n))
+        zero = int(ends[d])
+        out.append((d, int(start[best]) - zero, int(length[best]), int(shared[best]) / n, int(start[a]) - zero, int(start[b - 1]) - zero))
     return out
 
 
@@ -173,8 +208,9 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, phrases, matches, base_labels, labels, score.
 
     phrases: array of (label, word) for every place of a phrase, word being where it
-    starts; matches: array of (label, first_word, n_words, containment), one per run
-    of windows that meet the threshold. score: the largest containment, 1 where a phrase stands,
+    starts; matches: array of (label, first_word, n_words, containment, first_start,
+    last_start), one per run of windows that meet the threshold: those at every word from
+    first_start to last_start do. score: the largest containment, 1 where a phrase stands,
     0 where nothing was found. Nulls: a null text is empty; a null doc_id is kept.
     Repeated rows are each scanned. An empty table gives an empty result. Extra
     columns are not read.
@@ -184,7 +220,7 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     phrases = [(label, [number[w.encode()] for w in text.split()]) for text, label in PHRASES.items()]
     kind = docs.schema["doc_id"].dataType.simpleString()
     phrase_type = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
-    match_type = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("containment", pa.float64())]))
+    match_type = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("containment", pa.float64()), ("first_start", pa.int64()), ("last_start", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(order, pa.binary())
@@ -204,9 +240,8 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     spoken[doc_of[p]].append((p - int(ends[doc_of[p]]), label))
             matched: list[list] = [[] for _ in range(len(rows))]
             for t in templates:
-                for d, first, share in window_matches(t, word, ends, doc_of):
-                    size = min(2 * t.n_words, int(ends[d + 1] - ends[d]) - first)
-                    matched[d].append({"label": t.label, "first_word": first, "n_words": size, "containment": share})
+                for d, first, size, share, begin, last in window_matches(t, word, ends, doc_of):
+                    matched[d].append({"label": t.label, "first_word": first, "n_words": size, "containment": share, "first_start": begin, "last_start": last})
             base = [sorted({x for _, x in s}) for s in spoken]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -222,7 +257,7 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     schema = (
         f"doc_id {kind}, n_words long, phrases array<struct<label:string,word:long>>, "
-        "matches array<struct<label:string,first_word:long,n_words:long,containment:double>>, "
+        "matches array<struct<label:string,first_word:long,n_words:long,containment:double,first_start:long,last_start:long>>, "
         "base_labels string, labels string, score double"
     )
     return docs.select("doc_id", "text").mapInArrow(run, schema)
