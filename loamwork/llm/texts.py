@@ -10,7 +10,7 @@ import ctypes
 import gc
 import sys
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -120,24 +120,25 @@ class IdCache:
         self.n += len(strings)
 
     def find(self, strings: list[bytes]) -> np.ndarray:
-        """Places of the strings in start and length."""
+        """Places of the strings, which are distinct, in start and length."""
         if self.n > self.limit:
             self.older = self.place, self.flat, self.start, self.length
             self._begin()
-        get = self.place.get
-        new = [s for s in strings if get(s) is None]
-        if new and self.older:
+        at = np.fromiter(map(self.place.get, strings, repeat(-1)), np.int64, len(strings))
+        new = np.flatnonzero(at < 0)
+        if len(new) and self.older:
             place, flat, start, length = self.older
-            known = [s for s in new if s in place]
-            if known:
-                at = np.fromiter(map(place.__getitem__, known), np.int64, len(known))
-                self._add(known, length[at], ragged(flat, start[at], length[at]))
-                new = [s for s in new if s not in place]
-        if new:
-            ids = self.encode_many(new)
+            old = np.fromiter((place.get(strings[k], -1) for k in new.tolist()), np.int64, len(new))
+            known, old, new = new[old >= 0], old[old >= 0], new[old < 0]
+            at[known] = self.n + np.arange(len(known))
+            self._add([strings[k] for k in known.tolist()], length[old], ragged(flat, start[old], length[old]))
+        if len(new):
+            missing = [strings[k] for k in new.tolist()]
+            ids = self.encode_many(missing)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self._add(new, sizes, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
-        return np.fromiter(map(self.place.__getitem__, strings), np.int64, len(strings))
+            at[new] = self.n + np.arange(len(new))
+            self._add(missing, sizes, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
+        return at
 
     def encode(self, data: np.ndarray, starts: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all slices of ``data`` end to end, and offsets of the runs of slices that begin at ``firsts``."""
