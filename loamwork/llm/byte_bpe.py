@@ -16,16 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from loamwork.llm.pretokenize import slice_starts
-from loamwork.llm.texts import IdCache, chunks, hold, lists, ragged
+from loamwork.llm.texts import IdCache, chunks, hold, lists, ragged, runs, settle
 
 NONE = np.iinfo(np.int32).max
 #: Slices up to these many bytes are merged in arrays, longer ones by a heap.
 WIDTHS = (4, 8, 12, 16, 24, 48)
 #: Bytes of text that are held at once, with their ids and offsets.
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 
 
 class Tokens:
@@ -163,6 +164,39 @@ def vocabulary(content: bytes, kind: type = Vocabulary) -> Tokens:
     return _loaded[key]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids and offsets of the texts, in runs of about _CHUNK bytes of text."""
+    for rows, data, at in chunks(batches, limit=_CHUNK):
+        ids, ends = v.encode(data, at)
+        length = v.length[ids]
+        begin = np.cumsum(length) - length - np.repeat(at[:-1], np.diff(ends))
+        yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": lists(ids, ends, pa.int32()), "offsets": lists(begin, ends, pa.int32())})
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], v: Tokens) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids, offsets and bytes from ids and offsets alone, in runs of about _CHUNK ids and bytes."""
+    for batch in batches:
+        columns = [c.fill_null([]) if c.null_count else c for c in (batch.column("ids"), batch.column("offsets"))]
+        ids, begin = (c.flatten().to_numpy(zero_copy_only=False) for c in columns)
+        n = columns[0].value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(n, dtype=np.int64))
+        size = np.zeros(len(n), np.int64)
+        last = ends[1:][n > 0] - 1
+        size[n > 0] = begin[last] + v.length[ids[last]]
+        for a, b in runs(np.append(0, np.cumsum(np.maximum(size, n))), _CHUNK):
+            cut = np.append(0, np.cumsum(size[a:b]))
+            at = slice(ends[a], ends[b])
+            raw = v.decode(ids[at], begin[at] + np.repeat(cut[:-1], n[a:b]), int(cut[-1]))
+            texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(cut), pa.py_buffer(raw)])
+            part = [c.slice(a, b - a) for c in (batch.column("doc_id"), *columns)]
+            yield pa.RecordBatch.from_arrays([*part, texts.cast(pa.binary())], ["doc_id", "ids", "offsets", "bytes"])
+
+
+def _content(df: DataFrame, ranks_path: str) -> Broadcast[bytes]:
+    with open(ranks_path, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
 def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids and offsets (array<int>, the byte where each token begins) of every row of ``docs``.
 
@@ -170,17 +204,12 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     are each encoded. An empty table gives an empty result. Extra columns are not read.
     The rank file is read on the driver and sent to the workers (a fixed size).
     """
-    with open(ranks_path, "rb") as f:
-        content = docs.sparkSession.sparkContext.broadcast(f.read())
+    content = _content(docs, ranks_path)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(content.value)
-        for rows, data, at in chunks(batches, limit=_CHUNK):
-            ids, ends = v.encode(data, at)
-            length = v.length[ids]
-            begin = np.cumsum(length) - length - np.repeat(at[:-1], np.diff(ends))
-            yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": lists(ids, ends, pa.int32()), "offsets": lists(begin, ends, pa.int32())})
+        yield from _encoded(batches, vocabulary(content.value))
+        settle()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>")
 
@@ -191,30 +220,33 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     A text has as many bytes as its last token reaches. Repeated rows are each decoded; an
     empty table gives an empty result; extra columns are not read.
     """
-    with open(ranks_path, "rb") as f:
-        content = encoded.sparkSession.sparkContext.broadcast(f.read())
+    content = _content(encoded, ranks_path)
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(content.value, Tokens)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                columns = [c.fill_null([]) if c.null_count else c for c in (rows.column("ids"), rows.column("offsets"))]
-                ids, begin = (c.flatten().to_numpy(zero_copy_only=False) for c in columns)
-                n = columns[0].value_lengths().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(n)
-                size = np.zeros(len(rows), np.int64)
-                last = ends[n > 0] - 1
-                size[n > 0] = begin[last] + v.length[ids[last]]
-                cut = np.append(0, np.cumsum(size))
-                raw = v.decode(ids, begin + np.repeat(cut[:-1], n), int(cut[-1]))
-                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(cut), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "ids": columns[0], "offsets": columns[1], "bytes": texts.cast(pa.binary())})
+        yield from _decoded(batches, vocabulary(content.value, Tokens))
+        settle()
 
     return encoded.select("doc_id", "ids", "offsets").mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>, bytes binary")
 
 
+def encode_decode(docs: DataFrame, ranks_path: str) -> DataFrame:
+    """decode(encode(docs)) in one Python stage: a run of texts is encoded, and its ids are decoded, before the next.
+
+    The ids do not go back to a second worker in Arrow batches that count rows and not
+    ids. Nulls, repeated rows and empty tables: as encode and decode have them.
+    """
+    content = _content(docs, ranks_path)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(content.value)
+        yield from _decoded(_encoded(batches, v), v)
+        settle()
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>, bytes binary")
+
+
 def decode_span(ids: list[int], offsets: list[int], tokens: Tokens, first: int, last: int) -> bytes:
     """The bytes of a text from ``first`` up to ``last``, from the tokens that lie there alone."""
     begin = np.asarray(offsets, np.int64)

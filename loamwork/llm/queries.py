@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamwork.llm.byte_bpe import decode, encode
+from loamwork.llm.byte_bpe import encode_decode
 from loamwork.llm.exact_dedup import exact_dedup
 from loamwork.llm.licenses import license_scan
 from loamwork.llm.log_bilinear import score_documents
@@ -100,7 +100,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of what their bytes are when they are decoded at their offsets. Null texts have no ids; an empty table gives no rows."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks).select(
+    return encode_decode(_table(spark, sf_dir, "documents"), ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

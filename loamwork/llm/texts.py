@@ -52,6 +52,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends - ends[0]
 
 
+def runs(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """First row and end of runs of rows with up to ``limit`` in all, one row at least; ``ends``: 0 and the sums up to each row."""
+    at = 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+        yield at, to
+        at = to
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) of runs of rows with about ``limit`` bytes of text, one row at least."""
     for batch in batches:
@@ -59,11 +68,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             continue
         column = batch.column(text)
         data, ends = utf8(column)
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+        for at, to in runs(ends, limit):
             yield batch.slice(at, to - at), data[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
-            at = to
         pa.default_memory_pool().release_unused()
 
 
