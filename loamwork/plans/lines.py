@@ -171,7 +171,8 @@ def extraction_differences(spark, sf_dir):
         "doc_id", F.length("a").cast("long").alias("chars"), F.length("b").cast("long").alias("other_chars"),
         *(x for k, p in CLASSES.items() for x in (n("a", p).alias(k), n("b", p).alias(f"other_{k}"))),
     )
-    share = (F.col("chars") - F.col("other_chars")) * 100.0 / F.col("chars")
+    # a division by zero would raise, also where an empty text's share is not used
+    share = F.try_divide((F.col("chars") - F.col("other_chars")) * 100.0, F.col("chars"))
     some = F.col("chars") > 0
     verdict = F.when(~some | (F.abs(share) < 5), "excellent").when(F.abs(share) < 10, "good").otherwise("issues")
     return counted.select("*", F.when(some, F.round(share, 6)).otherwise(0.0).alias("difference"), verdict.alias("verdict"))
