@@ -5,9 +5,10 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -212,8 +213,61 @@ _PAGE_MARK = re.compile(r"\d+|page \d+", re.IGNORECASE)
 SHARE, SIMILAR = 0.7, 0.85
 
 
+#: Values of the hash by which pairs of neighbouring characters are counted.
+PAIRS = 512
+
+
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, with a bit for each character of ``b``."""
+    places: dict[str, int] = {}
+    for k, c in enumerate(b):
+        places[c] = places.get(c, 0) | 1 << k
+    whole = left = (1 << len(b)) - 1
+    for c in a:
+        u = left & places.get(c, 0)
+        left = ((left + u) | (left - u)) & whole
+    return len(b) - left.bit_count()
+
+
 def _alike(a: str, b: str) -> bool:
-    return a == b or difflib.SequenceMatcher(None, a, b).ratio() >= SIMILAR
+    """Whether the ratio of difflib is enough; what it matches is a common subsequence, so it is only asked if that is long enough."""
+    return a == b or (2 * common_subsequence(a, b) >= SIMILAR * (len(a) + len(b)) - 1e-9 and difflib.SequenceMatcher(None, a, b).ratio() >= SIMILAR)
+
+
+def _pairs(line: str) -> np.ndarray:
+    """How many pairs of neighbouring characters a line has of each hash."""
+    c = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.bincount((c[:-1] * 31 + c[1:]) % PAIRS, minlength=PAIRS).astype(np.int32)
+
+
+class Lines:
+    """Lines with what it takes to tell, without a comparison, which of them cannot be alike.
+
+    Two lines with m matched characters of n in both have at most n - 2m + 1 blocks of
+    them, so at least 3m - n - 1 pairs of neighbours in common; lines that are alike have
+    2m >= SIMILAR * n. Only pairs of lines that these bounds allow need to be compared.
+    """
+
+    def __init__(self, lines: Iterable[str] = ()) -> None:
+        self.lines: list[str] = []
+        self._sizes, self._pairs = np.zeros(16, np.int64), np.zeros((16, PAIRS), np.int32)
+        for line in lines:
+            self.add(line)
+
+    def add(self, line: str) -> None:
+        n = len(self.lines)
+        if n == len(self._sizes):
+            self._sizes, self._pairs = np.concatenate([self._sizes, np.zeros_like(self._sizes)]), np.concatenate([self._pairs, np.zeros_like(self._pairs)])
+        self._sizes[n], self._pairs[n] = len(line), _pairs(line)
+        self.lines.append(line)
+
+    def near(self, line: str) -> list[int]:
+        """Places of the lines that may be like the line."""
+        n = len(self.lines)
+        both = self._sizes[:n] + len(line)
+        able = np.flatnonzero(2 * np.minimum(self._sizes[:n], len(line)) >= SIMILAR * both - 1e-9)
+        shared = np.minimum(self._pairs[able], _pairs(line)).sum(1)
+        return able[shared + 1 >= (1.5 * SIMILAR - 1) * both[able] - 1e-9].tolist()
 
 
 def repeated_edges(pages: list[str], share: float = SHARE) -> set[str]:
@@ -221,7 +275,8 @@ def repeated_edges(pages: list[str], share: float = SHARE) -> set[str]:
 
     A line joins the first group whose leader it resembles. A group with as many lines
     that resemble one of its own as ``share`` of the pages is repeated, so a single page
-    loses its edges. Distinct lines are compared, each with its number of places.
+    loses its edges. Distinct lines are compared, each with its number of places, and only
+    where Lines does not rule it out.
     """
     found = set()
     for edge in (slice(0, 3), slice(-3, None)):
@@ -229,18 +284,30 @@ def repeated_edges(pages: list[str], share: float = SHARE) -> set[str]:
         for page in pages:
             for line in [x.strip() for x in page.split("\n") if len(x.strip()) > 3][edge]:
                 count[line] = count.get(line, 0) + 1
-        groups: dict[str, list[str]] = {}
+        leaders, groups = Lines(), []
         for line in count:
-            groups.setdefault(next((g for g in groups if _alike(g, line)), line), []).append(line)
-        for group in groups.values():
-            if sum(n for line, n in count.items() if any(_alike(line, g) for g in group)) >= share * len(pages):
+            at = next((k for k in leaders.near(line) if _alike(leaders.lines[k], line)), len(groups))
+            if at == len(groups):
+                leaders.add(line)
+                groups.append([])
+            groups[at].append(line)
+        every, places = Lines(count), [*count.values()]
+        for group in groups:
+            left = {g: every.near(g) for g in group}
+            if sum(places[k] for k in {k for near in left.values() for k in near}) < share * len(pages):
+                continue
+            like: set[int] = set()
+            for g, near in left.items():
+                like.update(k for k in near if k not in like and _alike(every.lines[k], g))
+            if sum(places[k] for k in like) >= share * len(pages):
                 found.update(group)
     return found
 
 
-def without_edges(page: str, repeated: set[str]) -> str:
+def without_edges(page: str, repeated: set[str] | Lines) -> str:
     """The page without lines that resemble repeated ones, and without page numbers."""
-    return "\n".join(x for x in page.split("\n") if not (_PAGE_MARK.fullmatch(x.strip()) or any(_alike(x.strip(), r) for r in repeated)))
+    known = repeated if isinstance(repeated, Lines) else Lines(repeated)
+    return "\n".join(x for x in page.split("\n") if not (_PAGE_MARK.fullmatch(x.strip()) or any(_alike(x.strip(), known.lines[k]) for k in known.near(x.strip()))))
 
 
 @register("headers_removed")
@@ -252,7 +319,7 @@ def headers_removed(spark, sf_dir):
 
     def run(report: pd.DataFrame) -> pd.DataFrame:
         report = report.sort_values("page")
-        repeated = repeated_edges(report["raw"].fillna("").tolist())
+        repeated = Lines(repeated_edges(report["raw"].fillna("").tolist()))
         return report.assign(text=[without_edges(x, repeated) for x in report["text"].fillna("")])[["doc_id", "page", "text"]]
 
     pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.col("text").alias("raw"), T.clean_text(F.col("text")).alias("text"))

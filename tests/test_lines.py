@@ -1,4 +1,8 @@
-from loamwork.plans import registry
+import difflib
+
+import numpy as np
+
+from loamwork.plans import lines, registry
 from loamwork.plans.lines import repeated_edges, without_edges
 
 DATA = "/root/testdata/sf0.001"
@@ -23,3 +27,29 @@ def test_queries_without_sql(spark):
     assert len(topics) == 150 and all(r["word"] for r in topics)
     found = queries["vector_clusters"](spark, DATA).collect()
     assert len(found) == 500 and {r["topic"] for r in found} <= set(range(-1, 10))
+
+
+def test_long_reports_are_compared_by_bounds(monkeypatch):
+    """Lines that cannot be alike are told apart without a comparison; what is found is what comparing all of them finds."""
+    rng = np.random.default_rng(5)
+    heads = ["".join(rng.choice([*"abcd "], n)) for n in (9, 60, 230)]
+
+    def changed(x):
+        return "".join(rng.choice(["", "z", c + "q"]) if rng.random() < 0.06 else c for c in x)
+
+    def alike(a, b):
+        return a == b or difflib.SequenceMatcher(None, a, b).ratio() >= lines.SIMILAR
+
+    for _ in range(30):
+        pages = ["\n".join(changed(heads[rng.integers(3)]) for _ in range(rng.integers(1, 5))) for _ in range(6)]
+        quick = repeated_edges(pages), [without_edges(p, repeated_edges(pages)) for p in pages]
+        with monkeypatch.context() as m:
+            m.setattr(lines, "_alike", alike)
+            m.setattr(lines.Lines, "near", lambda self, line: range(len(self.lines)))
+            assert quick == (repeated_edges(pages), [without_edges(p, repeated_edges(pages)) for p in pages])
+    assert all(lines.common_subsequence(a, b) == n for a, b, n in (("", "", 0), ("abc", "", 0), ("abcbdab", "bdcaba", 4), ("xx", "axbxc", 2)))
+    calls, real = [], difflib.SequenceMatcher
+    with monkeypatch.context() as m:
+        m.setattr(lines.difflib, "SequenceMatcher", lambda *a: calls.append(a) or real(*a))
+        repeated_edges(["".join(rng.choice([*"abcdefghijklmnopqrstuvwxyz "], 100)) for _ in range(100)])
+    assert len(calls) < 10
