@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from loamwork.functions import names as N
 from loamwork.functions import text as T
+from loamwork.operators.ordering import with_global_index
 from loamwork.plans import sql as S
 from loamwork.plans.companies import _SQL_MISSING, _SQL_REGISTRY, _SQL_STATUS, _SQL_CONVENTION, _stand_in_missing, _stand_in_status, files_by_symbol, registry_companies
 from loamwork.plans.documents import table
 from loamwork.plans.filings import unwrapped
 from loamwork.plans.registry import register
+from loamwork.session import materialise
 
 #: Bytes that a report's file has at least.
 LEAST_BYTES = 1000
@@ -112,11 +114,27 @@ def filing_records(spark, sf_dir):
 
 
 def missing_json(entries: DataFrame) -> DataFrame:
-    """One row with the JSON of missing reports: how many, by company and by year, and the entries in their order. Logs of missing reports are small."""
+    """(place, part, json): the JSON of missing reports in pieces: how many, the entries in the order of their columns, and counts by company and by year.
+
+    The pieces joined in their order are the JSON; part is 'head' for the first, 'entry'
+    for each entry and 'tail' for the last. Entries are numbered by ranges and stay apart,
+    so no row holds more than one of them or the counts.
+    """
     known = entries.withColumns({c: F.coalesce(c, F.lit("Unknown")) for c in ("company_name", "year")})
     counted = lambda c: known.groupBy(c).count().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "count")))).alias(f"{c}s"))
-    every = entries.agg(F.count("*").alias("total_missing_reports"), F.array_sort(F.collect_list(F.struct(*entries.columns))).alias("entries"))
-    return every.crossJoin(counted("company_name")).crossJoin(counted("year")).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))
+    numbered = with_global_index(entries, entries.columns, "__at")
+    each = F.concat(F.when(F.col("__at") > 0, ",").otherwise(""), F.to_json(F.struct(*entries.columns), {"ignoreNullFields": "false"}))
+    total = numbered.agg(F.count("*").alias("n"))
+    head = total.select(F.lit(0).cast("long").alias("place"), F.lit("head").alias("part"), F.concat(F.lit('{"total_missing_reports":'), F.col("n").cast("string"), F.lit(',"entries":[')).alias("json"))
+    counts = total.crossJoin(counted("company_name")).crossJoin(counted("year"))
+    tail = counts.select((F.col("n") + 1).alias("place"), F.lit("tail").alias("part"), F.concat(F.lit("],"), F.substring(F.to_json(F.struct("company_names", "years")), 2, 1 << 30)).alias("json"))
+    return head.unionByName(numbered.select((F.col("__at") + 1).alias("place"), F.lit("entry").alias("part"), each.alias("json"))).unionByName(tail)
+
+
+def missing_counts(pieces: DataFrame) -> DataFrame:
+    """One row: total_missing_reports and years of a log of missing reports in pieces; without its entries it is a JSON of its own."""
+    ends = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "json"))), lambda x: x["json"]), "")
+    return pieces.filter("part <> 'entry'").agg(F.from_json(ends, "total_missing_reports bigint, years map<string,bigint>").alias("j")).select("j.*")
 
 
 @register(
@@ -125,6 +143,5 @@ def missing_json(entries: DataFrame) -> DataFrame:
 )
 def missing_log(spark, sf_dir):
     """Missing reports by year, read back from the JSON of the log."""
-    read = F.from_json("json", "total_missing_reports bigint, years map<string,bigint>")
-    log = missing_json(_stand_in_missing(spark, sf_dir)).select(read.alias("j"))
-    return log.select(F.col("j.total_missing_reports").alias("total"), F.explode("j.years").alias("year", "reports"))
+    log = materialise(missing_json(_stand_in_missing(spark, sf_dir)), "missing-log")
+    return missing_counts(log).select(F.col("total_missing_reports").alias("total"), F.explode("years").alias("year", "reports"))
