@@ -150,14 +150,14 @@ def companies_in_text(docs: DataFrame, companies: DataFrame) -> DataFrame:
     of exchanges never count. A text's words are joined with symbols by equality, so
     work is in proportion to words, not to words times companies. Nulls match nothing.
     """
-    words = lambda c: F.regexp_extract_all(F.upper(c), F.lit(f"({_WORD})"), 1)
+    words = lambda c: F.regexp_extract_all(T.upper(c), F.lit(f"({_WORD})"), 1)
     head = F.substring("text", 1, FIRST_PART)
     rows = docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("symbol"))
-    bare = F.transform(F.filter(F.split(F.lower("name"), r"\s+"), lambda w: F.length(w) > 2), lambda w: F.regexp_replace(w, "[.,;:]+$", ""))
-    names = companies.select(F.upper("symbol").alias("symbol"), "place", F.filter(bare, lambda w: w != "").alias("parts")).filter(~F.col("symbol").isin(AMBIGUOUS_SYMBOLS))
+    bare = F.transform(F.filter(F.split(T.lower(F.col("name")), r"\s+"), lambda w: F.length(w) > 2), lambda w: F.regexp_replace(w, "[.,;:]+$", ""))
+    names = companies.select(T.upper(F.col("symbol")).alias("symbol"), "place", F.filter(bare, lambda w: w != "").alias("parts")).filter(~F.col("symbol").isin(AMBIGUOUS_SYMBOLS))
     # a text's symbols are few; they meet the text once
     hits = rows.join(names, "symbol").groupBy("doc_id").agg(F.collect_list(F.struct("symbol", "place", "parts")).alias("found"))
-    near = docs.select("doc_id", F.lower("text").alias("t"), F.lower(head).alias("h"), words(head).alias("w")).join(hits, "doc_id")
+    near = docs.select("doc_id", T.lower(F.col("text")).alias("t"), T.lower(head).alias("h"), words(head).alias("w")).join(hits, "doc_id")
     named = lambda c, parts: F.exists(parts, lambda w: F.contains(c, w))
     score = lambda x: F.when(F.array_contains("w", x["symbol"]) & named(F.col("h"), x["parts"]), 200).when(F.array_contains("w", x["symbol"]), 100).when(named(F.col("t"), x["parts"]), 1)
     scored = F.transform("found", lambda x: F.struct((-score(x)).alias("less"), x["place"].alias("place"), x["symbol"].alias("symbol")))
@@ -179,7 +179,7 @@ def companies_in_text(docs: DataFrame, companies: DataFrame) -> DataFrame:
 )
 def company_matches(spark, sf_dir):
     """Texts matched to companies; first words of the benchmark's items stand in for symbols."""
-    items = table(spark, sf_dir, "benchmark").select(F.upper(F.regexp_extract("text", f"({_WORD})", 1)).alias("symbol"), F.struct("item_id", F.substring("text", 1, 40).alias("name")).alias("x"))
+    items = table(spark, sf_dir, "benchmark").select(T.upper(F.regexp_extract("text", f"({_WORD})", 1)).alias("symbol"), F.struct("item_id", F.substring("text", 1, 40).alias("name")).alias("x"))
     companies = items.groupBy("symbol").agg(F.min("x").alias("x")).select("symbol", "x.name", F.col("x.item_id").alias("place"))
     return companies_in_text(table(spark, sf_dir, "documents"), companies)
 
