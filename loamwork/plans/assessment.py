@@ -32,12 +32,12 @@ def jumble(t: Column) -> Column:
     def of(w: Column) -> Column:
         n, alpha = F.size(w), lambda x: x.rlike(r"^\p{L}+$")
         share = lambda test: F.size(F.filter(w, test)) / n
-        plain = lambda x: (x.rlike(r"\p{Lu}") & ~x.rlike(r"\p{Ll}")) | (x.rlike(r"\p{Ll}") & ~x.rlike(r"\p{Lu}")) | x.rlike(r"^\p{Lu}\p{Ll}+$")
+        plain = lambda x: x.rlike(r"(?s)^(?:\P{Ll}*\p{Lu}\P{Ll}*|\P{Lu}*\p{Ll}\P{Lu}*|\p{Lu}\p{Ll}+)\z")
         return F.struct(
             F.when(F.length(t) > 0, (F.length(t) - F.length(F.regexp_replace(t, _ODD, ""))) / F.length(t)).alias("odd"),
             F.when(n > 100, share(lambda x: (F.length(x) == 1) & alpha(x))).alias("single"),
-            F.when(n > 0, share(lambda x: alpha(x) & (F.length(x) > 2) & ~x.rlike("[aeiouAEIOU]"))).alias("no_vowel"),
-            F.when((F.length(t) > 100) & (n > 0), share(lambda x: alpha(x) & (F.length(x) > 3) & ~plain(x))).alias("mixed"),
+            F.when(n > 0, share(lambda x: (F.length(x) > 2) & ~x.rlike("[aeiouAEIOU]") & alpha(x))).alias("no_vowel"),
+            F.when((F.length(t) > 100) & (n > 0), share(lambda x: (F.length(x) > 3) & ~plain(x) & alpha(x))).alias("mixed"),
         )
 
     return T.let(words, of)
@@ -50,8 +50,7 @@ def coherence(t: Column) -> Column:
     total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, v: a + v)
 
     def of(v: Column) -> Column:
-        w, s, p = v["w"], v["s"], v["p"]
-        sizes = F.transform(s, lambda x: F.size(T.words(x)))
+        w, s, p, sizes = v["w"], v["s"], v["p"], v["z"]
         share = lambda test: F.when(F.size(s) > 0, F.size(F.filter(sizes, test)) / F.size(s)).otherwise(F.lit(0.0))
         return F.struct(
             F.size(w).cast("long").alias("n_words"), F.size(s).cast("long").alias("n_sentences"),
@@ -60,7 +59,8 @@ def coherence(t: Column) -> Column:
             (total(p) / F.size(p)).alias("words_a_paragraph"), share(lambda n: n < 3).alias("short"), share(lambda n: n > 50).alias("long"),
         )
 
-    return T.let(F.struct(T.words(t).alias("w"), sentences.alias("s"), paragraphs.alias("p")), of)
+    sized = lambda s: F.struct(T.words(t).alias("w"), s.alias("s"), paragraphs.alias("p"), F.transform(s, lambda x: F.size(T.words(x))).alias("z"))
+    return T.let(T.let(sentences, sized), of)
 
 
 def indicators(t: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.operators.dealing import filtered
 from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.registry import register
@@ -57,10 +58,9 @@ _WORD = T.WORD
 def reversed_lines(spark, sf_dir):
     """Documents with lines that look reversed, and the md5 of the whole text put right; no shuffle. Such lines are put before some texts."""
     before = F.when(F.col("doc_id") % 3 == 0, "eht rof dna total\nsales | latotS | ,eman\n").otherwise("")
-    lines = F.split("text", "\n", -1)
-    hit = F.filter(lines, lambda x: F.exists(F.split(x, r"\|", -1), lambda c: T.orientation_score(T.strip(c)) >= 0.35))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(before, "text").alias("text")).select("doc_id", "text", F.size(hit).cast("long").alias("n_lines")).filter("n_lines > 0")
-    return docs.select("doc_id", "n_lines", F.md5(T.fix_reversed(F.col("text"))).alias("text_md5"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", T.righted_lines(F.concat(before, "text")).alias("lines"))
+    found = filtered(docs.select("doc_id", "lines", F.size(F.filter("lines", lambda x: x["hit"])).cast("long").alias("n_lines")), F.col("n_lines") > 0)
+    return found.select("doc_id", "n_lines", F.md5(F.array_join(F.transform("lines", lambda x: x["text"]), "\n")).alias("text_md5"))
 
 
 def search_score(title, link):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.operators.dealing import dealt
 from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.registry import register
@@ -79,8 +80,7 @@ def heading_blocks(text: Column, lines: Column, phrases: Iterable[str] = T.HEADI
 
     whole = F.filter(F.transform(F.split(text, "\n\n", -1), T.strip), lambda p: p != "")
     none = F.array(F.struct(F.lit(0).alias("block"), F.lit("Content").alias("heading"), F.lit(1).alias("level"), F.lit(None).cast("int").alias("confidence"), F.lit(None).cast("int").alias("line_index"), whole.alias("content")))
-    made = F.element_at(F.transform(F.array(found), blocks), 1)  # found is computed once
-    return F.when(F.size(made) > 0, made.cast(_BLOCK)).otherwise(none.cast(_BLOCK))
+    return T.let(T.let(found, blocks), lambda made: F.when(F.size(made) > 0, made.cast(_BLOCK)).otherwise(none.cast(_BLOCK)))
 
 
 def report_blocks(reports: DataFrame, phrases: Iterable[str] = T.HEADING_WORDS) -> DataFrame:
@@ -154,9 +154,9 @@ def _stand_in_pages(spark, sf_dir) -> DataFrame:
 
 
 def joined_pages(pages: DataFrame) -> DataFrame:
-    """doc_id and text of every report: its pages (conv_id, turn, text) in order, blank lines between. A report is one row."""
+    """doc_id and text of every report: its pages (conv_id, turn, text) in order, blank lines between. A report is one row; reports are dealt by the number of their pages."""
     ordered = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    return pages.groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n\n").alias("text"))
+    return dealt(pages, "conv_id").groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n\n").alias("text"))
 
 
 @register(
