@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,6 +13,7 @@ from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.lines import CONTROL, UNUSUAL
 from loamwork.plans.registry import register
+from loamwork.session import materialise
 
 # What a disclosure report speaks of, and how many of them make one likely.
 INDICATORS = {
@@ -22,6 +24,9 @@ LIKELY = 5
 RATINGS = [(90, "excellent"), (75, "good"), (60, "fair"), (40, "poor")]
 _ODD = r"[^\p{L}\p{N}_.,;:!?()\[\]{}\"'\-" + T.SPACE[1:]
 
+#: The same; letters and spaces are passed over before the class is asked.
+_ODD_JAVA = rf"[\x00-\x1F\x21-\x40\x5B-\x60\x{{7B}}-\x{{10FFFF}}&&{_ODD}]"
+
 _FRONT = ["", "Section A: general information. The principle of business responsibility and sustainability. BRSR. ", "\x01— ### @@@ %%% ", "bcd fgh jklm npqr stv wxz " * 40, "A. B. C. D. E. F. G. H. I. J. K. L. "]
 
 
@@ -34,7 +39,7 @@ def jumble(t: Column) -> Column:
         share = lambda test: F.size(F.filter(w, test)) / n
         plain = lambda x: x.rlike(r"(?s)^(?:\P{Ll}*\p{Lu}\P{Ll}*|\P{Lu}*\p{Ll}\P{Lu}*|\p{Lu}\p{Ll}+)\z")
         return F.struct(
-            F.when(F.length(t) > 0, (F.length(t) - F.length(F.regexp_replace(t, _ODD, ""))) / F.length(t)).alias("odd"),
+            F.when(F.length(t) > 0, (F.length(t) - F.length(F.regexp_replace(t, _ODD_JAVA, ""))) / F.length(t)).alias("odd"),
             F.when(n > 100, share(lambda x: (F.length(x) == 1) & alpha(x))).alias("single"),
             F.when(n > 0, share(lambda x: (F.length(x) > 2) & ~x.rlike("[aeiouAEIOU]") & alpha(x))).alias("no_vowel"),
             F.when((F.length(t) > 100) & (n > 0), share(lambda x: (F.length(x) > 3) & ~plain(x) & alpha(x))).alias("mixed"),
@@ -64,9 +69,9 @@ def coherence(t: Column) -> Column:
 
 
 def indicators(t: Column) -> Column:
-    """A map from each indicator to whether the text has it."""
-    low = F.lower(t)
-    return F.create_map(*(x for k, p in INDICATORS.items() for x in (F.lit(k), low.rlike(p))))
+    """A map from each indicator to whether the text has it; its first word is looked for before the pattern."""
+    word = {k: re.search("[a-z]+", p.removeprefix(r"\b"))[0] for k, p in INDICATORS.items()}
+    return T.let(F.lower(t), lambda low: F.create_map(*(x for k, p in INDICATORS.items() for x in (F.lit(k), low.contains(word[k]) & low.rlike(p)))))
 
 
 def rating(score: Column) -> Column:
@@ -143,7 +148,8 @@ def quality_assessed(spark, sf_dir):
 @register("quality_histogram", f"WITH {_SQL_ASSESSED} SELECT quality_rating, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM r), 4) AS percent, round(avg(quality_score), 4) AS mean FROM r GROUP BY quality_rating")
 def quality_histogram(spark, sf_dir):
     """How many texts have each rating, and their mean score; one row for each rating that occurs."""
-    counted = assessed(_docs(spark, sf_dir)).groupBy("quality_rating").agg(F.count("*").alias("n"), F.sum("quality_score").alias("s"))
+    # a row for each rating; it is read twice, and texts must not be
+    counted = materialise(assessed(_docs(spark, sf_dir)).groupBy("quality_rating").agg(F.count("*").alias("n"), F.sum("quality_score").alias("s")), "ratings")
     whole = counted.agg(F.sum("n").alias("all"))
     return counted.crossJoin(F.broadcast(whole)).select("quality_rating", "n", F.round(F.col("n") * 100.0 / F.col("all"), 4).alias("percent"), F.round(F.col("s") / F.col("n"), 4).alias("mean"))
 
