@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loamwork.functions import names as N
 from loamwork.functions import text as T
+from loamwork.operators.dealing import dealt, filtered
 from loamwork.plans import sql as S
 from loamwork.plans.acquisition import YEARS
 from loamwork.plans.documents import table
@@ -44,7 +45,7 @@ def companies(raw: DataFrame, row: str) -> DataFrame:
         F.col(row).cast("int").alias("row_index"), F.coalesce(*serials, F.col(row).cast("int")).alias("serial_number"),
         F.when(~T.is_blank(naming), naming).alias("naming_convention"),
     )
-    return out.filter("company_name <> '' AND symbol <> ''")
+    return filtered(out, (F.col("company_name") != "") & (F.col("symbol") != ""))
 
 
 def symbol_lookup(found: DataFrame) -> DataFrame:
@@ -67,7 +68,8 @@ _NAMES = [" Ltd.", " Limited ", " Pvt Ltd", " Private Limited", " Ltd. Limited",
 def _stand_in_registry(spark, sf_dir) -> DataFrame:
     k = F.col("c_custkey")
     pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), (k % len(xs) + 1).cast("int"))
-    return table(spark, sf_dir, "customer").select(
+    # companies are dealt by their number: their names are slow to make, and a file of many is small
+    return dealt(table(spark, sf_dir, "customer"), "c_custkey", each=5000).select(
         k.alias("row"), F.when(k % 13 == 0, "").otherwise(F.concat(F.lit(" "), F.replace("c_name", F.lit("#"), F.lit(" ")), pick(_NAMES))).alias("Company Name "),
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("SYM"), (k % 500).cast("string"), F.lit(" "))).alias(" Symbol"), F.col("c_mktsegment").alias("Industry"),
         F.when(k % 3 == 0, F.lit("no")).when(k % 3 == 1, (k + 1000).cast("string")).alias("S.No"), F.when(k % 3 == 2, k.cast("double") * 2).alias("SN"), pick(_CONVENTIONS).alias("naming convention"),
