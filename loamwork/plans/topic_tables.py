@@ -221,24 +221,40 @@ def result_order(spark, sf_dir):
     return ordered_candidates(table(spark, sf_dir, "events").select(F.col("user_id").alias("query"), F.col("event_id").alias("place"), F.floor("value").cast("long").alias("score")))
 
 
+#: Words whose runs alone are counted, at most.
+PRUNING_WORDS = 20_000
+
+
 def term_range_counts(docs: DataFrame, first: int, last: int, least: float, most: float, stop: list[str]) -> DataFrame:
     """(term, df): runs of ``first`` to ``last`` neighbouring words (words: an array) that stand in enough and not too many documents.
 
     Bounds under 1 are shares of all documents, others numbers; both count. Stop words go
     first. A document's terms are made distinct before they are shuffled.
+
+    A run stands in no more documents than each of its words. So words are counted first,
+    and runs with one in too few documents are not made, unless there are too many other
+    words (PRUNING_WORDS) to ask for.
     """
     words = docs.select(F.filter("words", lambda w: ~w.isin(stop)).alias("w"))
-
-    def runs(n: int) -> Column:
-        found = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))
-        return F.when(F.size("w") >= n, found).otherwise(F.array().cast("array<string>"))
-
-    each = F.array_distinct(F.concat(*map(runs, range(first, last + 1))))
-    counted = words.select(F.explode(each).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    total = docs.agg(F.count("*").alias("n"))
-    low = F.lit(least) * F.col("n") if least < 1 else F.lit(least)
-    high = F.lit(most) * F.col("n") if most < 1 else F.lit(most)
-    return counted.crossJoin(F.broadcast(total)).filter((F.col("df") >= low) & (F.col("df") <= high)).select("term", "df")
+    n = docs.count()
+    low, high = least * n if least < 1 else least, most * n if most < 1 else most
+
+    def counted(terms: Column) -> DataFrame:
+        return words.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= low)
+
+    def runs(k: int, known: list[str] | None) -> Column:
+        at = F.sequence(F.lit(1), F.size("v") - k + 1)
+        if known is not None:
+            at = F.filter(at, lambda i: F.forall(F.slice("v", i, k), lambda w: w.isNotNull()))
+        return F.when(F.size("v") >= k, F.transform(at, lambda i: F.array_join(F.slice("v", i, k), " "))).otherwise(F.array().cast("array<string>"))
+
+    single = materialise(counted(F.array_distinct("w")), "frequent-words")
+    known = [r["term"] for r in single.limit(PRUNING_WORDS + 1).collect()] if last > 1 else []
+    known = known if len(known) <= PRUNING_WORDS else None
+    longer = range(max(2, first), last + 1)
+    words = words.withColumn("v", F.col("w") if known is None else F.transform("w", lambda w: F.when(w.isin([*known, ""]), w)))
+    parts = ([single] if first == 1 else []) + ([counted(F.array_distinct(F.concat(*(runs(k, known) for k in longer))))] if len(longer) else [])
+    return reduce(DataFrame.unionByName, parts).filter(F.col("df") <= high).select("term", "df")
 
 
 _STOP = ["the", "and", "for", "that"]
