@@ -36,3 +36,16 @@ def test_filters_compute_once(spark):
     assert len(got) == 66 and got[0].asDict().keys() == {"x", "y"} and tried.value == 99
     plan = registry.queries()["reversed_lines"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Filter" in line and "split(" in line for line in plan.split("\n"))
+
+
+def test_pairs_have_tasks_by_documents(spark, monkeypatch):
+    """Pairs of words are dealt on both sides of their shuffle, and the setting is put back."""
+    from loamwork.plans import topics
+
+    want = sorted(registry.queries()["bigram_frequency"](spark, DATA).collect())
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    monkeypatch.setattr(topics, "PAIR_DOCS", 10)
+    monkeypatch.setattr(topics, "dealt", lambda rows, *keys, each: seen.append(each) or dealt(rows, *keys, each=each))
+    monkeypatch.setattr(topics, "materialise", lambda df, tag, real=topics.materialise: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or real(df, tag))
+    assert sorted(registry.queries()["bigram_frequency"](spark, DATA).collect()) == want
+    assert seen == [10, 21] and spark.conf.get("spark.sql.shuffle.partitions") == before
