@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loamwork.functions import text as T
+from loamwork.operators.dealing import dealt
 from loamwork.plans import sql as S
 from loamwork.plans.documents import table
 from loamwork.plans.registry import register
@@ -322,7 +323,7 @@ def headers_removed(spark, sf_dir):
         repeated = Lines(repeated_edges(report["raw"].fillna("").tolist()))
         return report.assign(text=[without_edges(x, repeated) for x in report["text"].fillna("")])[["doc_id", "page", "text"]]
 
-    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.col("text").alias("raw"), T.clean_text(F.col("text")).alias("text"))
+    pages = dealt(table(spark, sf_dir, "conversations"), "conv_id").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.col("text").alias("raw"), T.clean_text(F.col("text")).alias("text"))
     return pages.groupBy("doc_id").applyInPandas(run, "doc_id long, page long, text string")
 
 
